@@ -60,3 +60,8 @@ def expanded(df: DataFrame, count: str, out: str, chunk: int = 1 << 16) -> DataF
     dealt = parts.repartition(deal_width(df.sparkSession), F.xxhash64(*[F.col(f"`{c}`") for c in parts.columns if not c.startswith("__m_")]))
     first = F.col("__part") * chunk
     return dealt.withColumn(out, F.explode(F.sequence(first, F.least(n, first + chunk) - 1))).drop("__part")
+
+
+def bounded_batches(spark: SparkSession, megabytes: int = 8) -> None:
+    """Arrow batches that go to Python are at most so large (one row at least)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
