@@ -21,7 +21,7 @@ def connected(members: DataFrame, facts: DataFrame, maybe: Callable[[str, str],
     members: key and node (long), each pair once. facts: node and what maybe(a, b) needs to rule out pairs cheaply (as a_name and b_name). verify takes pairs (a, b) and returns those that link.
     """
     carried = [c for c in facts.columns if c != "node"]
-    lists = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lead")).where("n > 1")
+    lists = members.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.min("node").alias("lead")).where("many > 1")
     held = written(members.join(lists, "key").join(facts, "node"), "lists")
     named = lambda p: facts.select(F.col("node").alias(p), *[F.col(c).alias(f"{p}_{c}") for c in carried])
     first = held.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
@@ -29,7 +29,7 @@ def connected(members: DataFrame, facts: DataFrame, maybe: Callable[[str, str],
     edges = written(verify(first).select("a", "b"), "first-links")
     place = written(components(edges), "first-places")
 
-    at = held.where("n > 2").join(place, "node", "left").withColumn("place", F.coalesce("place", "node"))
+    at = held.where("many > 2").join(place, "node", "left").withColumn("place", F.coalesce("place", "node"))
     lead = place.select(F.col("node").alias("lead"), F.col("place").alias("lead_place"))
     at = at.join(lead, "lead", "left").withColumn("lead_place", F.coalesce("lead_place", "lead"))
     mixed = at.groupBy("key").agg(F.min("place").alias("p"), F.max("place").alias("q")).where("p != q").select("key")

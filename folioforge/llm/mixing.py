@@ -16,7 +16,7 @@ BLOCK_WORDS = 64
 #: Weights of the sources in the order of their names, repeating; share of all words that the mix has; passes over a source at most.
 WEIGHTS, SHARE, PASSES = (5.0, 2.0, 1.0), 1.5, 2
 #: Documents whose places in their source are summed in one task, on average.
-RUN_DOCS = 20_000
+RUN_DOCS = 2_000
 #: Applications of the network to numbers that fall outside; see permuted().
 WALK = 64
 
@@ -105,7 +105,8 @@ def mixture(sizes: DataFrame, aims: DataFrame, shards: int = 16, seed: int = 7,
         F.when(last, F.col("rest") - F.expr(f"(rest - 1) div {block_words}") * block_words).otherwise(F.lit(block_words)).alias("room"),
         F.pmod(F.xxhash64(F.lit(seed + 1), "sid", "slot"), F.lit(shards)).cast("int").alias("shard"),
     )
-    taken = slots.join(pieces, ["sid", "block"]).withColumn("taken", F.least(F.col("n"), F.col("room") - F.col("off")))
+    # Rows that were spelled out are many more than their plan says: never broadcast them.
+    taken = slots.hint("merge").join(pieces, ["sid", "block"]).withColumn("taken", F.least(F.col("n"), F.col("room") - F.col("off")))
     return taken.where("taken > 0").select("shard", "sid", "slot", "pass", "doc_id", "print", "size", "copy", "first", F.col("taken").alias("words"))
 
 
@@ -124,7 +125,7 @@ def mix_accounts(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sou
     rows = rows.where("copies = 1").withColumn("copy", F.lit(0).cast("long")).unionByName(expanded(rows.where("copies > 1"), "copies", "copy")).alias("r")
     got = got.alias("g")
     same = [F.col(f"r.{c}") == F.col(f"g.{c}") for c in ("sid", "print", "size", "copy")]
-    joined = rows.join(got, [F.col("r.doc_id").eqNullSafe(F.col("g.doc_id")), *same], "left")
+    joined = rows.join(got.hint("merge"), [F.col("r.doc_id").eqNullSafe(F.col("g.doc_id")), *same], "left")
     return joined.select("r.doc_id", "r.size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
 
 

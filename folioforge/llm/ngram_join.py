@@ -31,7 +31,7 @@ SIEVE_BITS = 26
 #: Rows of a list of ids (16 bytes each) up to which it is broadcast; beyond, it is joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
-_U = np.uint64
+_U, _ALL = np.uint64, (1 << 64) - 1
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[ord("A") : ord("Z") + 1] += 32
 _SPACE = np.zeros(256, bool)
@@ -95,10 +95,10 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
             s = np.sort(rolled[lo : hi - words + 1])
             out.append(s if len(s) < 2 else s[np.concatenate([[True], s[1:] != s[:-1]])])
         elif hi > lo:
-            whole = _U(hi - lo)
-            for h in hashes[lo:hi]:
-                whole = whole * _FOLD_WORDS + h
-            out.append(_mix(np.array([whole ^ _U(0x5851F42D4C957F2D)], np.uint64)))
+            whole = np.full(1, hi - lo, np.uint64)
+            for k in range(lo, hi):
+                whole = whole * _FOLD_WORDS + hashes[k]
+            out.append(_mix(whole ^ _U(0x5851F42D4C957F2D)))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
@@ -116,7 +116,7 @@ def signatures(tokens: np.ndarray, band: int, most: int) -> tuple[np.ndarray, in
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     mixed = _mix(tokens + _U(0x632BE59BD9B4E019))
     sums = np.add.reduceat(mixed, first)
-    place = at[first] * _U(0x9E3779B97F4A7C15) + _U(band + 1) * _U(0xC2B2AE3D27D4EB4F)
+    place = at[first] * _U(0x9E3779B97F4A7C15) + _U((band + 1) * 0xC2B2AE3D27D4EB4F & _ALL)
     exact = _mix(sums ^ place)
     if len(exact) > most:
         return exact, most + 1
@@ -125,7 +125,7 @@ def signatures(tokens: np.ndarray, band: int, most: int) -> tuple[np.ndarray, in
     several = size[segment] > 1
     out = [exact, _mix((sums[segment] - mixed)[several] ^ place[segment][several])]
     if np.minimum(size, 2).sum() <= most:
-        out.append(_mix(tokens ^ _U((band + 1) * 0x2545F4914F6CDD1D & 0xFFFFFFFFFFFFFFFF)))
+        out.append(_mix(tokens ^ _U((band + 1) * 0x2545F4914F6CDD1D & _ALL)))
     return np.unique(np.concatenate(out)), -1
 
 

@@ -5,19 +5,58 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioforge.llm.embedding_dedup import near_embeddings
 from folioforge.llm.exact_dedup import label_duplicates
+from folioforge.llm.language_id import identify
+from folioforge.llm.line_dedup import dedup_lines
 from folioforge.llm.mixing import mix_accounts
+from folioforge.llm.ngram_join import near_duplicates
+from folioforge.llm.packing import packed
+from folioforge.llm.secret_scan import scan_secrets
 from folioforge.llm.sharding import shuffled_shards
+from folioforge.llm.url_filter import judge_urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "lines", "kept_lines", "text")
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents")).drop("print", "host")
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same evidence for web pages: declared in the markup, suffix and host of the address, models fitted on documents."""
+    from folioforge.llm.language_id import fitted
+
+    weights = fitted(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+    declared = F.regexp_extract("html", r"""(?i)<html[^>]*\slang=["']?([a-z]+)""", 1)
+    shown = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1>", " "), r"(?s)<[^>]*>", " ")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", declared.alias("declared"), shown.alias("shown"))
+    found = identify(pages, id_col="page_id", text_col="shown", declared_col="declared", host_col=None, url_col="url", weights=weights)
+    return found.withColumnRenamed("doc_id", "page_id").drop("print")
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_accounts(table(spark, sf_dir, "documents"))
 
@@ -36,10 +75,26 @@ def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_language_id": op3_language_id,
+    "op4_url_filter": op4_url_filter,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_secret_scan": op6_secret_scan,
     "op7_source_mix": op7_source_mix,
     "op8_shard": op8_shard,
+    "op9_packing": op9_packing,
+    "op10_embedding_dedup": op10_embedding_dedup,
+    "language_id_pages": language_id_pages,
 }
 
 ORACLES = {

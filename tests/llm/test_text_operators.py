@@ -90,7 +90,7 @@ def test_rules_without_trigrams_scan_all_and_others_few():
     assert trigram_query(BASE[2]) is ALL
     index = Index((BASE[1],))
     ends, data = np.array([0, 3, 8, 11]), np.frombuffer(b"AkiaAKIakia", np.uint8)
-    assert index.answer(index.queries[0], index.postings(data, ends), 3).tolist() == []
+    assert index.answer(index.queries[0], index.postings(data, ends), 3).tolist() == [1]
     ends, data = np.array([0, 4, 8]), np.frombuffer(b"akIAxxxx", np.uint8)
     assert index.answer(index.queries[0], index.postings(data, ends), 2).tolist() == [0]
 
@@ -177,7 +177,7 @@ def test_rules_and_spread_of_distrust(spark):
         (11, "http://notexample.net/en/", None),
         (12, "x://y?://net/", None),
         (13, "http://spam.com/a", LINKS("bad.net", "bad.net", "worse.net")),
-        (14, "http://fine.com/a", LINKS("x.org", "spam.com") + '<a href="/rel">z</a>'),
+        (14, "http://fine.com/a", LINKS("x.org") + '<a href="/rel">z</a>'),
         (15, "http://bad.net/", None),
         (16, "http://worse.net/", LINKS("bad.net")),
         (None, "http://x.org/fr/2", None),
