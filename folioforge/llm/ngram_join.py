@@ -8,11 +8,14 @@ Which segments a set puts into the index is decided by cost, the number of sets
 cost nothing; a set with H + 1 of them has no partner and leaves. So passages that many documents share are used only where nothing rarer is left. A set with too few segments for H + 1 adds each segment's one-deletion neighbourhood (it and its partner both do, or
 one of them has enough), and one whose segments don't suffice even so, its single tokens. Nothing is capped or left out.
 
-Sets that are equal are one node. Candidates are verified on their whole sets.
+Sets that are equal are one node. Candidates whose parity sketches (one bit for each of SKETCH_BITS buckets of tokens: is their number odd?) differ in more than H bits differ in more than H tokens and are ruled out while lists are joined; the others are
+verified on their whole sets.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,6 +29,8 @@ from folioforge.llm.support import bounded_batches, written
 WORDS, SIMILAR = 5, 80
 #: Tokens of a segment, on average, in the largest sets of a band.
 PER_SEGMENT = 4
+#: Bits of a set's parity sketch, a multiple of 64.
+SKETCH_BITS = 1024
 #: Bits of the sieve for signatures that occur more than once; its size is fixed, whatever the data.
 SIEVE_BITS = 26
 #: Rows of a list of ids (16 bytes each) up to which it is broadcast; beyond, it is joined by a shuffle.
@@ -140,6 +145,12 @@ def indexed(tokens: np.ndarray, similar: int) -> list[tuple[np.ndarray, int]]:
     return out
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """A bit for each bucket: whether an odd number of tokens fall into it. Two sketches differ in at most as many bits as the sets in tokens."""
+    odd = np.bincount((_mix(tokens + _U(3)) % _U(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
@@ -149,6 +160,11 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64()))
 
 
+def _few(ids: DataFrame) -> DataFrame:
+    """Broadcast if there are few; else left to a shuffle."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
 def row_key(*cols: str) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in cols])
 
@@ -170,11 +186,11 @@ def _described(docs: DataFrame, id_col: str, text_col: str, similar: int) -> Dat
                 a, b = [x[0] if x else none for x in found], [x[1] if len(x) > 1 else none for x in found]
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), some.column(1), some.column(2), pa.array(keys[:, 0].astype(np.int64)), pa.array(_signed(keys[:, 1])), pa.array(_signed(keys[:, 2]))]
-                    + [_lists([_signed(x[0]) for x in a]), pa.array([x[1] for x in a], pa.int32()), _lists([_signed(x[0]) for x in b]), pa.array([x[1] for x in b], pa.int32())],
-                    ["rid", "print", "doc_id", "n", "k1", "k2", "own", "own_need", "next", "next_need"],
+                    + [_lists([_signed(x[0]) for x in a]), pa.array([x[1] for x in a], pa.int32()), _lists([_signed(x[0]) for x in b]), pa.array([x[1] for x in b], pa.int32()), _lists([sketch(s) for s in sets])],
+                    ["rid", "print", "doc_id", "n", "k1", "k2", "own", "own_need", "next", "next_need", "bits"],
                 )
 
-    return plain.mapInArrow(run, f"rid long, print long, doc_id {kind}, n long, k1 long, k2 long, own array<long>, own_need int, next array<long>, next_need int")
+    return plain.mapInArrow(run, f"rid long, print long, doc_id {kind}, n long, k1 long, k2 long, own array<long>, own_need int, next array<long>, next_need int, bits array<long>")
 
 
 def _sieve(shared: DataFrame) -> np.ndarray:
@@ -223,8 +239,7 @@ def _selected(described: DataFrame) -> DataFrame:
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame) -> DataFrame:
     """node and set (uint64, little endian) of nodes (node, print, k1). Texts are read again; only those asked for are cut."""
-    asked = nodes.select("print").distinct()
-    asked = F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked
+    asked = _few(nodes.select("print").distinct())
     texts = docs.select(row_key(id_col, text_col).alias("print"), F.col(f"`{text_col}`").alias("text")).join(asked, "print", "left_semi")
 
     def run(batches):
@@ -243,19 +258,21 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame) -> Data
 def _verifier(sets: DataFrame, similar: int):
     def run(batches):
         for batch in batches:
-            keep = []
+            far, link = [], []
             for i in range(batch.num_rows):
                 x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in (2, 3))
                 small, large = (x, y) if len(x) <= len(y) else (y, x)
                 at = np.minimum(np.searchsorted(large, small), len(large) - 1)
                 common = int((large[at] == small).sum())
-                keep.append(100 * common >= similar * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in (0, 1)], ["a", "b"])
+                union = len(x) + len(y) - common
+                far.append(1 - common / union)
+                link.append(100 * common >= similar * union)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(far, pa.float64()), pa.array(link, pa.bool_())], ["a", "b", "far", "link"])
 
     def verify(pairs: DataFrame) -> DataFrame:
         one = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
         both = one.join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
-        return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+        return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, far double, link boolean")
 
     return verify
 
@@ -270,15 +287,20 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, similar: int) -> DataF
     rows = facts.join(classes.select("k1", "k2", "n", "node"), ["k1", "k2", "n"], "left").withColumn("node", F.coalesce("node", "rid"))
     rows = written(rows.select("rid", "print", "doc_id", "n", "node"), "nodes")
 
-    copies = rows.where("rid != node").select("rid")
-    copies = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
+    copies = _few(rows.where("rid != node").select("rid"))
     chosen = written(_selected(described.join(copies, "rid", "left_anti")), "selected")
     several = chosen.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
     chosen = written(chosen.join(several, "key", "left_semi"), "candidates")
     asked = written(classes.join(chosen.select("node").distinct(), "node", "left_semi").select("node", "print", "k1"), "asked")
     sets = written(_sets(docs, id_col, text_col, asked), "sets", "lz4")
-    near = lambda a, b: (F.lit(100) * F.least(f"{a}_n", f"{b}_n")) >= F.lit(similar) * F.greatest(f"{a}_n", f"{b}_n")
-    place = connected(chosen.select("key", "node"), chosen.select("node", "n").distinct(), near, _verifier(sets, similar))
+    facts = described.join(_few(asked.select(F.col("node").alias("rid"))), "rid", "left_semi").select(F.col("rid").alias("node"), "n", "bits")
+
+    def near(a: str, b: str) -> Column:
+        sizes = F.lit(100) * F.least(f"{a}_n", f"{b}_n") >= F.lit(similar) * F.greatest(f"{a}_n", f"{b}_n")
+        apart = [F.bit_count(F.element_at(f"{a}_bits", k + 1).bitwiseXOR(F.element_at(f"{b}_bits", k + 1))) for k in range(SKETCH_BITS // 64)]
+        return sizes & (F.lit(100 + similar) * reduce(lambda x, y: x + y, apart) <= F.lit(100 - similar) * (F.col(f"{a}_n") + F.col(f"{b}_n")))
+
+    place = connected(chosen.select("key", "node"), written(facts, "facts"), near, _verifier(sets, similar))
     return rows.join(place, "node", "left").select("rid", "print", "doc_id", "n", F.coalesce("place", "node").alias("place"))
 
 
@@ -302,9 +324,8 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     marked = rows.join(best, "place").withColumn("stays", order == F.col("best"))
     prints = written(marked.groupBy("print").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("rows")), "marks")
     gone, twice = prints.where("NOT stays").select("print"), prints.where("stays AND rows > 1").select("print")
-    few = lambda x: F.broadcast(x) if x.count() <= BROADCAST_ROWS else x
-    left = docs.withColumn("__print", row_key(id_col, text_col)).join(few(gone.withColumnRenamed("print", "__print")), "__print", "left_anti")
+    left = docs.withColumn("__print", row_key(id_col, text_col)).join(_few(gone.withColumnRenamed("print", "__print")), "__print", "left_anti")
     if not twice.isEmpty():  # rows alike in id and text, all of which would stay
-        twice = few(twice.withColumnRenamed("print", "__print"))
+        twice = _few(twice.withColumnRenamed("print", "__print"))
         left = left.join(twice, "__print", "left_anti").unionByName(left.join(twice, "__print", "left_semi").dropDuplicates(["__print"]))
     return left.drop("__print")
