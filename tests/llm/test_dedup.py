@@ -193,7 +193,8 @@ def line_brute(rows):
     return out, len(links)
 
 
-def test_line_dedup(spark):
+@pytest.mark.parametrize("row_words", [30_000, 20])
+def test_line_dedup(spark, row_words):
     rng = random.Random(5)
     words = [f"word{k}" for k in range(200)]
     line = lambda n: " ".join(rng.choice(words) for _ in range(n))
@@ -202,7 +203,7 @@ def test_line_dedup(spark):
     rows = [(i, "\n".join(rng.choice([*pool, "", "end", line(12)]) for _ in range(6))) for i in range(60)]
     rows += [(100, None), (101, ""), (102, " \n "), (103, pool[0]), (None, pool[1] + "\nnew line stands here"), (0, rows[0][1])]
     want, links = line_brute(rows)
-    got = dedup_lines(frame(spark, rows).repartition(3))
+    got = dedup_lines(frame(spark, rows).repartition(3), row_words=row_words)
     assert links > 5
     assert {r["doc_id"]: r["text"] for r in got.collect()} == want
     assert got.columns == [*SCHEMA.replace(" long", "").replace(" string", "").replace(" int", "").split(", "), "lines", "kept_lines"]
