@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,3 +44,52 @@ def top_k(queries: DataFrame, points: DataFrame, k: int = 7, distance: str = "co
         ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
         found = ranked if found is None else found.unionByName(ranked)
     return found.select("qid", "rank", "id", "score")
+
+
+#: Fixed value: the namespace of URLs for name-based identifiers (RFC 4122).
+URL_NAMESPACE = "6ba7b8119dad11d180b400c04fd430c8"
+
+
+def uuid5(key: Column, namespace: str = URL_NAMESPACE) -> Column:
+    """The name-based identifier (version 5) of a text."""
+    h = F.sha1(F.concat(F.unhex(F.lit(namespace)), key.cast("binary")))
+    third = F.concat(F.lit("5"), F.substring(h, 14, 3))
+    fourth = F.concat(F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab"), F.substring(h, 18, 3))
+    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), third, fourth, F.substring(h, 21, 12))
+
+
+def point_key(record_type: str = "record_type") -> Column:
+    parts = [F.col(record_type), F.coalesce(F.nullif("id", F.lit("")), "placeholder"), F.col("filename"), F.col("image_link"), F.col("section_path"), F.col("page_repr")]
+    return F.array_join(F.array(*[F.coalesce(p, F.lit("")) for p in parts]), "||")
+
+
+def collection_name(base: str = "final_embeddings", distance: str = "cosine", m: int = 16, ef: int = 100, on_disk: bool = False) -> str:
+    """The name of a collection: what isn't usual is appended."""
+    said = [distance.lower()] * (distance.lower() != "cosine") + [f"m{m}-ef{ef}"] * ((m, ef) != (16, 100)) + ["disk"] * on_disk
+    return "_".join([base, *said])
+
+
+def records(finals: DataFrame, provider, source: str = "") -> DataFrame:
+    """Points to store: final records with text, their point_id, source_file and dense vector. Embedding runs in tasks, an Arrow batch at a time."""
+    @F.pandas_udf("array<float>")
+    def embedded(texts: pd.Series) -> pd.Series:
+        return pd.Series(provider.embed(texts.tolist()))
+
+    names = {"text": "texts", "table_str": "tables_str", "table_unstr": "tables_unstr", "image_formula": "images_formula", "image_sum": "images_sum", "image_trans": "images_trans"}
+    file = F.lit(None).cast("string")
+    for kind, name in names.items():
+        file = F.when(F.col("record_type") == kind, F.lit(f"{source}{name}_final.json")).otherwise(file)
+    kept = finals.where(F.coalesce("text", F.lit("")).rlike(r"(?U)\S"))
+    return kept.withColumn("point_id", uuid5(point_key())).withColumn("source_file", file).withColumn("dense", embedded("text")).drop("keyword")
+
+
+def latest(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """The last row of each key. Rows are combined before the shuffle, one a key and task."""
+    best = rows.groupBy(key).agg(F.max_by(F.struct(*[c for c in rows.columns if c != key]), order).alias("r"))
+    return best.select(key, "r.*").select(*rows.columns)
+
+
+def upserted(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """What is stored after `new` is written over it by point_id; of points that are new twice, the last in ord stays."""
+    fresh = latest(new, "point_id", "ord") if "ord" in new.columns else new.dropDuplicates(["point_id"])
+    return stored.join(fresh.select("point_id"), "point_id", "left_anti").unionByName(fresh.select(*stored.columns))
