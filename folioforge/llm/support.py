@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -31,6 +32,8 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     path = f"{shared_folder(spark)}/folioforge/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
     jvm = spark.sparkContext._jvm
+    gc.collect()
+    jvm.System.gc()  # Spark removes shuffle files of plans that nobody holds any more: those of this step aren't needed again
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)
