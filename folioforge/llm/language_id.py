@@ -44,6 +44,9 @@ def fitted(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> np.nda
     """Log chances of each bucket: a column for each language and one for none of them (even); a last row of zeros for places that are no trigram."""
     known = docs.where(F.col(f"`{lang_col}`").isin(*LANGUAGES) & F.col(f"`{text_col}`").isNotNull())
     part = known.select(F.xxhash64(f"`{id_col}`").alias("h"), F.col(f"`{lang_col}`").alias("lang"), F.substring(f"`{text_col}`", 1, SAMPLE_CHARS).alias("text"))
+    rows = docs.where(F.col(f"`{lang_col}`").isin(*LANGUAGES)).count()
+    if rows > 2 * SAMPLE_ROWS:  # about twice the sample is left to sort, however many tasks there are
+        part = part.where(F.col("h") < int(2 * SAMPLE_ROWS / rows * 2**64) - 2**63)
     counts = np.full((BUCKETS, len(LANGUAGES)), ADDED)
     for row in part.orderBy("h", "text").limit(SAMPLE_ROWS).toLocalIterator():
         raw = np.frombuffer(row["text"].encode(), np.uint8)
