@@ -77,8 +77,8 @@ def upsert_latest(spark, sf_dir):
 
 
 @query(r"""
-    SELECT doc_id, CASE WHEN at > 1 THEN array_to_string(t[greatest(at - 15, 1):at - 1], ' ') ELSE '' END AS said_before, array_to_string(t[at + 1:at + 15], ' ') AS said_after
-    FROM (SELECT doc_id, t, list_position(t, '{{IMG_SUM_001}}') AS at FROM (
+    SELECT doc_id, CASE WHEN p > 1 THEN array_to_string(t[greatest(p - 15, 1):p - 1], ' ') ELSE '' END AS said_before, array_to_string(t[p + 1:p + 15], ' ') AS said_after
+    FROM (SELECT doc_id, t, list_position(t, '{{IMG_SUM_001}}') AS p FROM (
       SELECT doc_id, list_filter(string_split_regex(text || ' {{IMG_SUM_001}} ' || text, '[ \t\n\r\f\v]+'), lambda x: x <> '') AS t FROM documents))""")
 def context_window(spark, sf_dir):
     said = F.concat("text", F.lit(" <!-- page --> {{IMG_SUM_001}} "), "text")
@@ -187,7 +187,7 @@ def placeholder_resolve(spark, sf_dir):
     link = F.create_map(key("p_partkey"), F.lit("")).alias("placeholders")
     contexts = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("qid"), F.lit(1).alias("rank"), F.concat(F.lit("see {{"), key("p_partkey"), F.lit("}} and {{T#1}}")).alias("text"), link)
     none = F.lit(None).cast("string")
-    points = table(spark, sf_dir, "supplier").select(key("s_suppkey").alias("id"), none.alias("image_link"), F.col("s_name").alias("point_id"), F.lit("image_trans").alias("record_type"), none.alias("component_type"), F.col("s_name").alias("original"), none.cast("array<string>").alias("original_rows"), none.alias("text"))
+    points = table(spark, sf_dir, "supplier").select(key("s_suppkey").alias("id"), none.alias("image_link"), F.col("s_name").alias("point_id"), F.lit("image_trans").alias("record_type"), none.alias("component_type"), F.col("s_name").alias("original"), F.lit(None).cast("array<string>").alias("original_rows"), none.alias("text"))
     return qa.resolved(contexts, points).select(F.col("qid").cast("long").alias("p_partkey"), F.col("text").alias("said"))
 
 

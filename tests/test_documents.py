@@ -148,7 +148,7 @@ def test_from_files_to_answers(spark, tmp_path):
     finals = {r["id"]: r for r in made.finals.collect()}
     assert {"TB_STR_001", "TB_STR_001#1", "TB_STR_001#summary"} <= set(finals)
     assert finals["TB_STR_001#1"]["text"] == "[문서: One] [경로: 1 Scope] k: a | v: b"
-    assert any(k.startswith("TEXT_001#c") for k in finals)
+    assert any(k.startswith("TEXT_002#c") for k in finals)
     assert made.payloads.count() == 3 and made.results.where("ok").count() == 1
     (tmp_path / "q.csv").write_text("﻿Question,x\nwhat is k?,1\n ,2\n")
     asked = qa.numbered(files.questions(spark, str(tmp_path / "q.csv")))
