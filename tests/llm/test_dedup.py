@@ -209,6 +209,19 @@ def test_line_dedup(spark, row_words):
     assert got.columns == [*SCHEMA.replace(" long", "").replace(" string", "").replace(" int", "").split(", "), "lines", "kept_lines"]
 
 
+def test_lines_ruled_by_one_word(spark):
+    """Rows of a table: the bar rules their hashes, so all are candidates of each other, and only edits tell them apart."""
+    rng = random.Random(4)
+    name = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    lines = [" | ".join(name() for _ in range(rng.randrange(8, 14))) for _ in range(40)]
+    lines += [x[:-1] + "!" for x in lines[::5]] + [x.replace(" | ", " | ", 1)[1:] for x in lines[::7]] + [lines[0][:40] + name() + lines[0][44:]]
+    rows = [(i, x) for i, x in enumerate(lines)]
+    want, links = line_brute(rows)
+    assert links
+    got = dedup_lines(frame(spark, rows).repartition(3))
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == want
+
+
 def test_line_dedup_of_nothing(spark):
     assert dedup_lines(frame(spark, [])).count() == 0
 
