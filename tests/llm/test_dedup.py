@@ -235,3 +235,52 @@ def test_hashes_within_the_bits_meet_in_a_table(lines):
         for bit in rng.sample(range(64), BITS):
             b ^= 1 << bit
         assert any((a ^ b) & m & (1 << 64) - 1 == 0 for _, m in masks)
+
+
+def edits_brute(texts, least_words=MIN_WORDS):
+    """Numbers of the one-line texts that stay when lines within the edits allowed are similar, by edit distance alone."""
+    lines = list(dict.fromkeys(x.lower() for x in texts))
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for x in a:
+            new = [row[0] + 1]
+            for k, y in enumerate(b):
+                new.append(min(row[k] + (x != y), row[k + 1] + 1, new[-1] + 1))
+            row = new
+        return row[-1]
+
+    most = lambda a, b: int(max(len(a), len(b)) * EDITED)
+    asked = [len(x.split()) >= least_words for x in lines]
+    links = [(a, b) for a, b in combinations(range(len(lines)), 2) if asked[a] and asked[b] and abs(len(lines[a]) - len(lines[b])) <= most(lines[a], lines[b]) and edits(lines[a], lines[b]) <= most(lines[a], lines[b])]
+    places = grouped(len(lines), links)
+    at = {x: (places[k] if asked[k] else None) for k, x in enumerate(lines)}
+    seen, stay = set(), set()
+    for i, x in enumerate(texts):
+        p = at[x.lower()]
+        if p is None or p not in seen:
+            stay.add(i)
+        seen.add(p)
+    return stay, len(links)
+
+
+def test_every_line_within_the_edits(spark):
+    """Edits of all kinds, at and around the number allowed, spread over lines of all small lengths; most are beyond the bits of the SimHash."""
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.randrange(1, 8)))
+    texts = []
+    for size in [3, 3, 4, 4, 5, 6, 8, 10, 13, 16, 20, 25, 30, 40, 60]:
+        base = " ".join(word() for _ in range(size))
+        texts.append(base)
+        for more in (-1, 0, 0, 0, 1):
+            new = list(base)
+            for _ in range(max(1, int(len(base) * EDITED) + more)):
+                k, what = rng.randrange(len(new)), rng.random()
+                new[k : k + (what < 0.7)] = [] if what < 0.35 else [rng.choice("xyz")]
+            texts.append("".join(new))
+    rng.shuffle(texts)
+    texts = [re.sub(" +", " ", x) for x in texts]
+    stay, links = edits_brute(texts)
+    assert links > 30
+    got = {r["doc_id"] for r in dedup_lines(frame(spark, list(enumerate(texts))).repartition(3), every=True).collect()}
+    assert got == stay
