@@ -284,3 +284,11 @@ def test_every_line_within_the_edits(spark):
     assert links > 30
     got = {r["doc_id"] for r in dedup_lines(frame(spark, list(enumerate(texts))).repartition(3), every=True).collect()}
     assert got == stay
+
+
+def test_thousands_of_rows_alike(spark):
+    """Their bits must not add up in the same fields of a sum."""
+    line = " ".join(f"word{k}" for k in range(20))
+    rows = [(None, line)] * 3500 + [(1, line + "\nand another line here")]
+    got = dedup_lines(frame(spark, rows).repartition(3)).collect()
+    assert [(r["doc_id"], r["text"]) for r in got] == [(1, line + "\nand another line here")]
