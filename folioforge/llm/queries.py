@@ -26,7 +26,7 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents"), every=True).select("doc_id", "lines", "kept_lines", "text")
+    return dedup_lines(table(spark, sf_dir, "documents"), min_words=1, every=True).select("doc_id", "lines", "kept_lines", "text")
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -292,3 +292,12 @@ def test_thousands_of_rows_alike(spark):
     rows = [(None, line)] * 3500 + [(1, line + "\nand another line here")]
     got = dedup_lines(frame(spark, rows).repartition(3)).collect()
     assert [(r["doc_id"], r["text"]) for r in got] == [(1, line + "\nand another line here")]
+
+
+def test_query_takes_lines_of_few_words(spark, tmp_path):
+    from folioforge.llm.queries import op2_line_dedup
+
+    rows = [(1, "end\n\nlong" + "x" * 50), (2, "end\n\nlong" + "x" * 50 + "\ntwo words"), (3, "two words\nENDE\n\nEND"), (4, "ende\n ")]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["text"] for r in op2_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: rows[0][1], 2: "\ntwo words", 3: "ENDE\n"}
