@@ -3,7 +3,6 @@
 A list holds the nodes that share a signature. In each of two rounds a list has a leader, and its nodes are compared with the leader alone: first its least node; then the node most like that, which in a group of
 copies is their original. A list whose nodes are in one component is then done: comparing them further can't change any component. In the lists that are left, every node outside of the list's largest
 component is compared with the nodes of other components that cheap bounds don't rule out while lists are joined. Together these are all pairs that the rounds left open, so no link that joins components is missed.
-Where many nodes share signatures and the cheap bounds leave most of their pairs, a caller gives closer bounds, which are worked out for the nodes that have a pair left alone.
 """
 
 from __future__ import annotations
@@ -19,22 +18,22 @@ from folioforge.llm.support import written
 ROUNDS = 2
 
 
-def connected(members: DataFrame, facts: DataFrame, maybe: Callable[[str, str], Column], verify: Callable[[DataFrame], DataFrame], closer: Callable[[DataFrame], tuple[DataFrame, DataFrame, Callable[[str, str], Column]]] | None = None) -> DataFrame:
+def connected(members: DataFrame, facts: DataFrame, maybe: Callable[[str, str], Column], verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """node and place of every node with a link.
 
     members: key and node (long), each pair once. facts: node and what maybe(a, b) needs to rule out pairs cheaply (as a_name and b_name). verify takes pairs (a, b) and returns them with far, their distance, and link.
-    closer takes nodes (node) and returns members, facts and maybe for what the rounds left open. Its members may cut a list: a node (list, key, asks, node) is kept under key and looks up the keys in asks; two nodes of a
-    list that maybe allows must each look up the other's key. Its maybe may read list, too, to take a pair from one list alone.
     """
     carried = [c for c in facts.columns if c != "node"]
     lists = members.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.min("node").alias("lead")).where("many > 1")
     open_ = written(members.join(lists, "key").select("key", "node", "lead"), "lists")
     named = lambda p: facts.select(F.col("node").alias(p), *[F.col(c).alias(f"{p}_{c}") for c in carried])
 
-    def judged(pairs: DataFrame, name: str) -> DataFrame:
+    def judged(pairs: DataFrame, name: str, bounded: bool = False) -> DataFrame:
+        """bounded: maybe has been asked."""
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        fit = pairs.join(named("a"), "a").join(named("b"), "b").where(maybe("a", "b")).select("a", "b")
-        return written(verify(fit).select("a", "b", "far", "link"), name)
+        if not bounded:
+            pairs = pairs.join(named("a"), "a").join(named("b"), "b").where(maybe("a", "b")).select("a", "b")
+        return written(verify(pairs).select("a", "b", "far", "link"), name)
 
     edges = place = None
     for k in range(ROUNDS):
@@ -50,29 +49,14 @@ def connected(members: DataFrame, facts: DataFrame, maybe: Callable[[str, str],
         if open_.isEmpty():
             return place
 
-    open_ = open_.select(F.col("key").alias("list"), "key", F.array("key").alias("asks"), "node", "place")
-    judge, shown = maybe, carried
-    if closer is not None:
-        one, two = (open_.join(facts, "node").select(F.col("key").alias(f"{p}_key"), *[F.col(c).alias(f"{p}_{c}") for c in ("node", "place", *carried)]) for p in "ab")
-        paired = one.join(two, (F.col("a_key") == F.col("b_key")) & (F.col("a_place") != F.col("b_place")) & maybe("a", "b"), "left_semi")
-        near = written(paired.select(F.col("a_node").alias("node")).distinct(), "paired")
-        if near.isEmpty():
-            return place
-        members, close, judge = closer(near)
-        open_ = members.join(place, "node", "left").select("list", "key", "asks", "node", F.coalesce("place", "node").alias("place"))
-        open_ = open_.join(close, "node")
-        shown = [c for c in close.columns if c != "node"]
-    else:
-        open_ = open_.join(facts, "node")
-
-    parts = open_.groupBy("list", "place").agg(F.count(F.lit(1)).alias("many"))
-    largest = written(parts.groupBy("list").agg(F.max_by("place", F.struct("many", "place")).alias("largest")), "largest")
-    full = open_.join(largest, "list")
-    side = lambda p, key, rows, *more: rows.select(F.col(key).alias("key") if key == "key" else F.explode(key).alias("key"), *[F.col(c).alias(f"{p}_{c}") for c in ("place", *shown)], F.col("node").alias(p), *more)
-    few, all_ = side("a", "asks", full.where("place != largest")), side("b", "key", full, "largest", "list")
+    open_ = open_.select("key", "node", "place").join(facts, "node")
+    parts = open_.groupBy("key", "place").agg(F.count(F.lit(1)).alias("many"))
+    largest = written(parts.groupBy("key").agg(F.max_by("place", F.struct("many", "place")).alias("largest")), "largest")
+    full = open_.join(largest, "key")
+    side = lambda p, rows, *more: rows.select("key", *[F.col(c).alias(f"{p}_{c}") for c in ("place", *carried)], F.col("node").alias(p), *more)
     once = (F.col("b_place") == F.col("largest")) | (F.col("a") < F.col("b"))
-    rest = few.join(all_, "key").where((F.col("a_place") != F.col("b_place")) & once & judge("a", "b")).select("a", "b")
-    more = judged(rest, "judged-rest").where("link")
+    rest = side("a", full.where("place != largest")).join(side("b", full, "largest"), "key").where((F.col("a_place") != F.col("b_place")) & once & maybe("a", "b")).select("a", "b")
+    more = judged(rest, "judged-rest", True).where("link")
     if more.isEmpty():
         return place
     return components(edges.unionByName(more).select("a", "b"))

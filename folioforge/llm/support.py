@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,30 +18,90 @@ WORD = r"[^\x20\x09-\x0D]+"
 UNEVEN_SPACE = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 
 
+_own_folder: list[str] = []
+#: Paths of tables that the operators that run just now have written, by operator.
+_open: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("open", default=())
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; only where it is unset (tests in one process), a temporary one of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="folioforge-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not _own_folder:
+            _own_folder.append("file://" + tempfile.mkdtemp(prefix="folioforge-"))
+        found = _own_folder[0]
     return found.rstrip("/")
 
 
-def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """Writes df as a table in the shared folder and reads it back: cuts lineage, and survives the loss of any executor."""
+def _file(spark: SparkSession, path: str) -> tuple:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def collected(spark: SparkSession) -> None:
+    """Spark removes shuffle files of plans that nobody holds any more: those of finished steps."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def written(df: DataFrame, name: str, compression: str = "zstd", lasting: bool = False) -> DataFrame:
+    """Writes df as a table in the shared folder and reads it back: cuts lineage, and survives the loss of any executor.
+
+    Inside of scratch() the table goes when that ends; a lasting one belongs to the scratch() around it, or else stays as long as the JVM.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/folioforge/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
-    jvm = spark.sparkContext._jvm
-    gc.collect()
-    jvm.System.gc()  # Spark removes shuffle files of plans that nobody holds any more: those of this step aren't needed again
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    collected(spark)
+    files, where = _file(spark, path)
+    files.deleteOnExit(where)
+    owners = _open.get()[: -1 if lasting else None]
+    if owners:
+        owners[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are deleted at the end, but for lasting ones. What is computed inside must be written there, too."""
+    own: list[str] = []
+    before = _open.set((*_open.get(), own))
+    try:
+        yield
+    finally:
+        _open.reset(before)
+        for path in own:
+            files, where = _file(spark, path)
+            files.delete(where, True)
+        collected(spark)
+
+
+def few(df: DataFrame, most: int) -> DataFrame:
+    """df, broadcast if it has so many rows at most; else left to a shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
+def row_key(*cols: str) -> list[Column]:
+    """Two independent hashes, p and q, that tell rows apart by these columns; nulls are told from values."""
+    values = [x for c in cols for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    return [F.xxhash64(F.lit(k), *values).alias(name) for k, name in enumerate("pq")]
+
+
+def without_repeats(docs: DataFrame, *key: str, most: int = 300_000) -> DataFrame:
+    """docs with one of rows alike in the key columns. Only rows that repeat are moved, found by narrow columns. A column that holds a row's key is named with two underscores and a number that no column of docs has."""
+    taken = {c.lower() for c in docs.columns}
+    k = next(k for k in range(len(taken) + 1) if f"__{k}" not in taken)
+    keyed = F.struct(*row_key(*key))
+    twice = written(docs.groupBy(keyed.alias("key")).count().where("count > 1").select("key"), "alike", lasting=True)
+    if twice.isEmpty():
+        return docs
+    twice = few(twice.select(F.col("key").alias(f"__{k}")), most)
+    all_ = docs.withColumn(f"__{k}", keyed)
+    return all_.join(twice, f"__{k}", "left_anti").unionByName(all_.join(twice, f"__{k}", "left_semi").dropDuplicates([f"__{k}"])).drop(f"__{k}")
+
+
 def squeezed(text: Column) -> Column:
     """Every run of white space becomes one space; null becomes empty."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), UNEVEN_SPACE, " ")
