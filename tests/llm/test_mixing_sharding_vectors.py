@@ -12,7 +12,7 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from folioforge.llm.embedding_dedup import near_embeddings
-from folioforge.llm.mixing import PASSES, SHARE, WEIGHTS, measured, mix_accounts, mixed_documents, permuted, targets
+from folioforge.llm.mixing import PASSES, SHARDS, SHARE, WEIGHTS, drawn, measured, mix_accounts, mixed_documents, mixture, permuted, targets
 from folioforge.llm.sharding import shuffled_shards
 
 DOCS = "doc_id long, text string, source string, sid int, slot int, size string, n_chars long"
@@ -82,6 +82,37 @@ def test_mixed_documents_have_the_words_taken(spark):
         assert all(w in it for w in r.text.split())
 
 
+def test_counts_of_shards_are_multinomial(spark):
+    """Ends rise to the number of slots, counts vary as binomial ones do, and each slot of a mix is in the shard that the draw gave it to."""
+    numbers = [0, 1, 2, 63, 64, 65, 1000] + [16_000] * 60
+    got = {r["sid"]: list(r["ends"]) for r in drawn(spark.createDataFrame(list(enumerate(numbers)), "sid long, slots long")).collect()}
+    assert all(len(got[k]) == SHARDS and got[k][-1] == n and sorted(got[k]) == got[k] for k, n in enumerate(numbers))
+    counts = np.array([np.diff([0, *got[k]]) for k in range(7, len(numbers))])
+    want = 16_000 * (1 / SHARDS) * (1 - 1 / SHARDS)
+    assert abs(counts.mean(0) - 16_000 / SHARDS).max() < 5 * (want / 60) ** 0.5 and 0.8 * want < counts.var() < 1.2 * want
+    df = frame(spark, documents())
+    sizes = measured(df).cache()
+    aims = targets(sizes).cache()
+    slots = {}
+    for r in mixture(sizes, aims, block_words=16).select("sid", "slot", "shard").distinct().collect():
+        slots.setdefault(r["sid"], {})[r["slot"]] = r["shard"]
+    totals = [(sid, max(x) + 1) for sid, x in slots.items()]
+    ends = {r["sid"]: list(r["ends"]) for r in drawn(spark.createDataFrame(totals, "sid int, slots long"), seed=8).collect()}
+    assert len(totals) > 5 and all(x[j] == sum(e <= j for e in ends[sid]) for sid, x in slots.items() for j in x)
+    accounts = mix_accounts(df).collect()
+    assert all(sum(r["shard_words"]) == r["taken"] for r in accounts) and len({k for r in accounts for k, n in enumerate(r["shard_words"]) if n}) == SHARDS
+
+
+def test_mix_keeps_columns_of_any_name(spark):
+    schema = "doc_id long, text string, source string, n_chars long, `a.b` int, __print int, p int, q int, size int, sid int, copy int, row int, `new` int, __0 int"
+    rows = [(1, "some words here", "a", 15, *range(10)), (2, "other words there, too", None, 22, *range(10, 20)), (3, None, "a", None, *range(10)), (4, " ", "a", 1, *range(10)), (2, "other words there, too", None, 22, *range(10, 20))]
+    df = spark.createDataFrame(rows, schema)
+    got = mixed_documents(df, df.columns)
+    assert got.columns == df.columns
+    assert {(r["doc_id"], r["a.b"], r["__print"], r["q"], r["copy"], r["new"], r["__0"]) for r in got.collect()} <= {(1, 0, 1, 3, 6, 8, 9), (2, 10, 11, 13, 16, 18, 19)}
+    assert got.count() >= 2 and mixed_documents(df.limit(0), df.columns).count() == 0
+
+
 def test_empty_mix(spark):
     assert mix_accounts(frame(spark, [])).count() == 0
     assert mix_accounts(frame(spark, [(1, None, "a"), (2, " ", None)])).agg(F.sum("taken"), F.count("*")).first()[:] == (0, 2)
