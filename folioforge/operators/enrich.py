@@ -80,7 +80,7 @@ def payloads(parts: DataFrame, texts: DataFrame, threshold: float = NUMERIC_SHAR
 
 def prompt(instruction: str, given: str) -> str:
     shown = json.dumps(json.loads(given), ensure_ascii=False, indent=2)
-    return f"{instruction}\n\n입력:\n{shown}\n\n출력은 위 출력 형식에 맞는 JSON만 반환하라."
+    return f"{instruction}\n\n입력:\n{shown}\n\n지정한 형식의 JSON 객체 하나만 답하라."
 
 
 def answered_json(c: Column) -> Column:
@@ -115,21 +115,28 @@ def validated(results: DataFrame) -> DataFrame:
 
 
 def answered(asked: DataFrame, provider: LlmProvider, attempts: int = ATTEMPTS) -> DataFrame:
-    """asked with attempts answers each (attempt, raw_response), validated, and the first good one kept, or else the last. Answers come from tasks; a lost task asks again."""
-    shape = "doc_key string, family string, id string, input string, image_link string, attempt int, raw_response string"
-
-    def run(batches):
-        for pdf in batches:
-            for attempt in range(1, attempts + 1):
-                out = pdf[["doc_key", "family", "id", "input", "image_link"]].copy()
-                out["attempt"] = attempt
-                out["raw_response"] = [provider.answer(prompt(i, g), link, attempt) for i, g, link in zip(pdf["instruction"], pdf["input"], pdf["image_link"], strict=True)]
+    """asked with the first good answer, or else the last of so many attempts, and which one it was. What has a good answer isn't asked again. Answers come from tasks; a lost task asks again."""
+    shape = "doc_key string, family string, id string, instruction string, input string, image_link string, attempt int, raw_response string, ok boolean"
+    names = [part.split(" ")[0] for part in shape.split(", ")]
+
+    def asking(attempt: int):
+        def run(batches):
+            for pdf in batches:
+                out = pdf.copy()
+                for k in range(len(out)):
+                    if not out.at[k, "ok"]:
+                        out.at[k, "raw_response"] = provider.answer(prompt(out.at[k, "instruction"], out.at[k, "input"]), out.at[k, "image_link"], attempt)
+                        out.at[k, "attempt"] = attempt
                 yield out
 
-    tried = validated(asked.mapInPandas(run, shape))
-    order = F.struct((~F.col("ok")).alias("bad"), F.when(F.col("ok"), F.col("attempt")).otherwise(-F.col("attempt")).alias("turn"))
+        return run
+
+    rows = asked.withColumns({"attempt": F.lit(0), "raw_response": F.lit(None).cast("string"), "ok": F.lit(False)})
+    for attempt in range(1, attempts + 1):
+        rows = validated(rows.select(*names).mapInPandas(asking(attempt), shape))
+    order = F.struct((~F.col("ok")).alias("bad"), "attempt")
     columns = ["input", "image_link", "attempt", "raw_response", "summary", "ok", "reason"]
-    best = tried.groupBy("doc_key", "family", "id").agg(F.min_by(F.struct(*columns), order).alias("r"))
+    best = rows.groupBy("doc_key", "family", "id").agg(F.min_by(F.struct(*columns), order).alias("r"))
     return best.select("doc_key", "family", "id", "r.*")
 
 

@@ -16,10 +16,11 @@ PADDING, TOP_EXTRA = 15, 30
 
 
 def scaled_box(raw: Column, width: Column, height: Column) -> Column:
-    """A box of the SPACE as pixels, inside of the page; what can't be read is [0, 0, 1, 1]."""
+    """A box of the SPACE as pixels, inside of the page, however large its numbers; what can't be read is [0, 0, 1, 1], and a number that is none is 0."""
     box = F.from_json(F.coalesce(raw, F.lit("")), "array<double>")
     ok = F.when(F.size(box) == 4, box).otherwise(F.array(*[F.lit(float(x)) for x in (0, 0, 1, 1)]))
-    at = lambda k, side: (F.element_at(ok, k + 1) * side / SPACE).cast("int")
+    number = lambda k: F.nanvl(F.coalesce(F.element_at(ok, k + 1), F.lit(0.0)), F.lit(0.0))
+    at = lambda k, side: F.least(F.greatest(number(k) * side / SPACE, F.lit(-(2.0**31))), F.lit(2.0**31 - 1)).cast("int")
     return F.array(F.greatest(F.lit(0), at(0, width)), F.greatest(F.lit(0), at(1, height)), F.least(width, at(2, width)), F.least(height, at(3, height)))
 
 

@@ -66,7 +66,7 @@ def prompts(questions: DataFrame, contexts: DataFrame, system: str = SYSTEM) ->
     each = contexts.groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("rank", shown.alias("shown"), proof.alias("proof")))).alias("c"))
     block = F.coalesce(F.nullif(F.trim(F.array_join(F.transform("c", lambda x: x["shown"]), "\n\n")), F.lit("")), F.lit("(컨텍스트 없음)"))
     asked = questions.select(F.col("qid").cast("string").alias("qid"), "question").join(each, "qid", "left")
-    text = F.concat(F.lit(system), F.lit("\n\n질문: "), "question", F.lit("\n\n컨텍스트를 참고해 5문장 이내로 답변하라. 모르면 모른다고 말해라.\n\n"), block)
+    text = F.concat(F.lit(system), F.lit("\n\n질문: "), "question", F.lit("\n\n답은 다섯 문장을 넘기지 말고, 주어진 자료에 없으면 없다고 밝혀라.\n\n"), block)
     return asked.select("qid", "question", text.alias("prompt"), F.coalesce(F.array_join(F.transform("c", lambda x: x["proof"]), "\n\n"), F.lit("")).alias("evidence"))
 
 

@@ -19,17 +19,18 @@ def norm(a: Column) -> Column:
 
 
 def score(a: Column, b: Column, distance: str = "cosine") -> Column:
-    """Larger is nearer: the dot product, the negated Euclidean distance, or else the cosine."""
+    """Larger is nearer: the dot product, the negated Euclidean distance, or else the cosine, which is 0 for a vector of zeros. Null for null vectors, null components and vectors of different lengths."""
     kind = distance.strip().lower()
     if kind == "dot":
         return dot(a, b)
     if kind in ("l2", "euclid", "euclidean"):
         return -F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: F.pow(x.cast("double") - y.cast("double"), 2)), F.lit(0.0), lambda s, x: s + x))
-    return dot(a, b) / (norm(a) * norm(b))
+    length = norm(a) * norm(b)
+    return F.when((length == 0) & (F.size(a) == F.size(b)), F.lit(0.0)).otherwise(F.try_divide(dot(a, b), length))
 
 
 def top_k(queries: DataFrame, points: DataFrame, k: int = 7, distance: str = "cosine", id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """qid, rank, id and score of the k nearest points of each query (qid, query); a query isn't its own neighbour; ties go to the smaller id.
+    """qid, rank, id and score of the k nearest points of each query (qid, query); a query isn't its own neighbour; ties go to the smaller id. Points without a score (see score) are nobody's neighbours.
 
     Every point is scored against each query where it is read, and every task keeps its k best a query before the shuffle: what moves is k rows for each task and query.
     """
@@ -39,7 +40,7 @@ def top_k(queries: DataFrame, points: DataFrame, k: int = 7, distance: str = "co
     for block in range(blocks):
         part = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == block)
         scored = points.select(F.col(id_col).alias("id"), F.col(vector_col).alias("__v")).crossJoin(F.broadcast(part.select("qid", "query")))
-        scored = scored.where(F.col("qid") != F.col("id")).select("qid", "id", score(F.col("query"), F.col("__v"), distance).alias("score"))
+        scored = scored.where(F.col("qid") != F.col("id")).select("qid", "id", score(F.col("query"), F.col("__v"), distance).alias("score")).where("score IS NOT NULL")
         best = Window.partitionBy("qid").orderBy(F.col("score").desc(), "id")
         ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
         found = ranked if found is None else found.unionByName(ranked)
@@ -89,7 +90,13 @@ def latest(rows: DataFrame, key: str, order: str) -> DataFrame:
     return best.select(key, "r.*").select(*rows.columns)
 
 
+def last_written(new: DataFrame) -> DataFrame:
+    """One row of each point_id: the last in ord, if there is one, and in the order of the rows."""
+    order = F.struct(*[F.col(c) for c in ("ord",) if c in new.columns], F.monotonically_increasing_id())
+    return latest(new.withColumn("__at", order), "point_id", "__at").drop("__at")
+
+
 def upserted(stored: DataFrame, new: DataFrame) -> DataFrame:
-    """What is stored after `new` is written over it by point_id; of points that are new twice, the last in ord stays."""
-    fresh = latest(new, "point_id", "ord") if "ord" in new.columns else new.dropDuplicates(["point_id"])
+    """What is stored after `new` is written over it by point_id; of points that are new twice, the last one stays."""
+    fresh = last_written(new)
     return stored.join(fresh.select("point_id"), "point_id", "left_anti").unionByName(fresh.select(*stored.columns))

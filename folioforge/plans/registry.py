@@ -30,19 +30,19 @@ def query(sql: str | None = None):
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _nearest(spark, sf_dir, "cosine")
+    return _nearest(spark, sf_dir, "cosine", "vec_id < 10")
 
 
-def _nearest(spark: SparkSession, sf_dir: str, distance: str) -> DataFrame:
+def _nearest(spark: SparkSession, sf_dir: str, distance: str, asking: str = "vec_id % 20 = 0") -> DataFrame:
     points = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    asked = points.where("vec_id < 10").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("query"))
+    asked = points.where(asking).select(F.col("vec_id").alias("qid"), F.col("embedding").alias("query"))
     return vectors.top_k(asked, points, 5, distance).select("qid", F.col("rank").cast("long").alias("rank"), "id")
 
 
 _NEAREST = """
     SELECT qid, rank, id FROM (
       SELECT q.vec_id AS qid, p.vec_id AS id, row_number() OVER (PARTITION BY q.vec_id ORDER BY {score}, p.vec_id) AS rank
-      FROM embeddings q JOIN embeddings p ON q.vec_id <> p.vec_id WHERE q.vec_id < 10) WHERE rank <= 5"""
+      FROM embeddings q JOIN embeddings p ON q.vec_id <> p.vec_id WHERE q.vec_id % 20 = 0) WHERE rank <= 5"""
 _A, _B = "q.embedding::DOUBLE[]", "p.embedding::DOUBLE[]"
 
 

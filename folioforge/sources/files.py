@@ -11,7 +11,8 @@ def decoded(uri: Column) -> Column:
     return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
 
 
-def _documents(df: DataFrame, root: str | None) -> DataFrame:
+def placed(df: DataFrame, root: str | None) -> DataFrame:
+    """doc_key, rel_path, folder, filename and text of files read as whole texts."""
     path, name = decoded(F.col("_metadata.file_path")), decoded(F.col("_metadata.file_name"))
     base = F.lit(root.rstrip("/") + "/") if root else F.lit("")
     rel = F.when(F.instr(path, base) > 0, F.substr(path, F.instr(path, base) + F.length(base))).otherwise(name) if root else name
@@ -26,11 +27,11 @@ def markdown(spark: SparkSession, root: str, suffix: str = ".md") -> DataFrame:
     if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
         return spark.createDataFrame([], "doc_key string, rel_path string, folder string, filename string, text string")
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}")
-    return _documents(reader.text(root, wholetext=True), root)
+    return placed(reader.text(root, wholetext=True), root)
 
 
 def markdown_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return _documents(spark.read.text(paths, wholetext=True), None)
+    return placed(spark.read.text(paths, wholetext=True), None)
 
 
 def json_records(spark: SparkSession, path: str | list[str], schema: str, lenient: bool = False) -> tuple[DataFrame, DataFrame]:

@@ -5,18 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from folioforge.operators.vectors import latest
-from folioforge.sources.files import decoded
+from folioforge.operators.vectors import last_written, latest
+from folioforge.sources.files import placed
 
 
 def arriving(spark: SparkSession, root: str, suffix: str = ".md", files_a_batch: int = 1000) -> DataFrame:
     """doc_key, folder, filename and text of files as they arrive below root."""
     stream = spark.readStream.option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_a_batch)
-    rows = stream.text(root, wholetext=True)
-    return rows.select(decoded(F.col("_metadata.file_path")).alias("doc_key"), F.lit("").alias("folder"), decoded(F.col("_metadata.file_name")).alias("filename"), F.col("value").alias("text"))
+    return placed(stream.text(root, wholetext=True), root).select("doc_key", "folder", "filename", "text")
 
 
 def stored(spark: SparkSession, path: str) -> DataFrame:
@@ -25,9 +23,9 @@ def stored(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upserting(docs: DataFrame, points: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:
-    """Writes the points of each batch into a folder of their own, which a repeated batch overwrites; stored() reads the last of each."""
+    """Writes the points of each batch, of each the last, into a folder of their own, which a repeated batch overwrites; stored() reads the last of each."""
 
     def write(batch: DataFrame, number: int) -> None:
-        points(batch).dropDuplicates(["point_id"]).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        last_written(points(batch)).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return docs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

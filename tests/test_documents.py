@@ -172,3 +172,52 @@ def test_lenient_and_strict_json(spark, tmp_path):
     (tmp_path / "b.json").write_text("[broken")
     good, bad = files.json_records(spark, [str(tmp_path / "a.json"), str(tmp_path / "b.json")], "id string", lenient=True)
     assert [r["id"] for r in good.cache().collect()] == ["x"] and bad.count() == 1
+
+
+def test_scores_of_odd_vectors(spark):
+    """A vector of zeros scores 0, one that is null, short or holds a null has no score and is nobody's neighbour; nothing divides by zero."""
+    points = spark.createDataFrame([(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [1.0]), (6, [1.0, None]), (7, [-1.0, 0.0])], "vec_id long, embedding array<float>")
+    asked = points.where("vec_id IN (1, 3, 4)").selectExpr("vec_id AS qid", "embedding AS query")
+    got = {(r["qid"], r["rank"]): (r["id"], r["score"]) for r in vectors.top_k(asked, points, 5).collect()}
+    assert got == {(1, 1): (2, 1.0), (1, 2): (3, 0.0), (1, 3): (7, -1.0), (3, 1): (1, 0.0), (3, 2): (2, 0.0), (3, 3): (7, 0.0)}
+    assert {r["qid"] for r in vectors.top_k(asked, points, 5, "l2").collect()} == {1, 3}
+
+
+def test_boxes_of_any_numbers(spark):
+    raw = ["[0, 0, 1e12, 512]", "[-1e300, 512, 1024, 1e300]", "[1, 2]", "nonsense", None, "[null, 0, 512, 512]", "[1e12, 1e12, 1e12, 1e12]"]
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(raw)], "k int, raw string")
+    got = {r["k"]: list(r["b"]) for r in df.select("k", ocr.scaled_box(F.col("raw"), F.lit(1000), F.lit(2000)).alias("b")).collect()}
+    assert got[0] == [0, 0, 1000, 1000] and got[1] == [0, 1000, 1000, 2000] and got[5] == [0, 0, 500, 1000]
+    assert got[2] == got[3] == got[4] == [0, 0, 0, 1]
+    assert got[6][2:] == [1000, 2000]
+
+
+def test_a_good_answer_ends_the_attempts(spark, tmp_path):
+    from folioforge.operators.enrich import answered
+
+    class Late:
+        """Good from the attempt on that the payload names; notes each call."""
+
+        def answer(self, prompt, link, attempt):
+            wanted = int(link)
+            with open(f"{tmp_path}/calls", "a") as f:
+                f.write(f"{link}:{attempt}\n")
+            return '{"image_summary": "The drawing shows a tall furnace with two pipes that lead into a tank of water."}' if attempt >= wanted else "no"
+
+    rows = [("d", "images_trans", str(k), "say", "{}", str(k)) for k in (1, 2, 3, 9)]
+    asked = spark.createDataFrame(rows, "doc_key string, family string, id string, instruction string, input string, image_link string").coalesce(1)
+    got = {r["id"]: (r["attempt"], r["ok"]) for r in answered(asked, Late(), 3).collect()}
+    assert got == {"1": (1, True), "2": (2, True), "3": (3, True), "9": (3, False)}
+    assert sorted(open(f"{tmp_path}/calls").read().split()) == ["1:1", "2:1", "2:2", "3:1", "3:2", "3:3", "9:1", "9:2", "9:3"]
+
+
+def test_the_last_write_of_a_point_stays(spark):
+    stored = spark.createDataFrame([("a", 0, "old"), ("b", 0, "old")], "point_id string, ord int, text string")
+    new = spark.createDataFrame([("a", 1, "first"), ("c", 5, "x"), ("a", 3, "last"), ("a", 2, "second"), ("c", 5, "y")], "point_id string, ord int, text string").coalesce(1)
+    assert {r["point_id"]: r["text"] for r in vectors.upserted(stored, new).collect()} == {"a": "last", "b": "old", "c": "y"}
+    assert {r["point_id"]: r["text"] for r in vectors.upserted(stored.drop("ord"), new.drop("ord")).collect()} == {"a": "second", "b": "old", "c": "y"}
+
+
+@pytest.mark.parametrize("unit", ["mm", "KW", "m/s", "kg/t-p", "g/1000", "C/Hr", "Ton-Slag", "mmAq", "ton-pig", "kcal", "cal/mol"])
+def test_units_in_formulas(unit):
+    assert mathtext.without_formulas(f"<math>5 \\text{{ {unit} }}</math>").replace(" ", "") == f"5{unit}"
