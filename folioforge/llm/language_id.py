@@ -18,8 +18,8 @@ from folioforge.llm.support import bounded_batches, written
 
 LANGUAGES = ("de", "en", "es", "fr")
 OTHER = "und"
-#: The sample that the models are fitted on: rows at most (those of the least hash of the id), and characters of each.
-SAMPLE_ROWS, SAMPLE_CHARS = 3000, 4000
+#: Labelled rows that the models are fitted on, whole texts, at most: those of the least hashes of id and text.
+SAMPLE_ROWS = 3000
 #: Trigrams of a text that count as independent evidence; buckets of trigrams; what is added to each count.
 WEIGHED, BUCKETS, ADDED = 40, 1 << 16, 0.5
 #: Chance that a declaration or suffix names the text's language; weight of the parent in a host's prior, in rows; chance of text in no language.
@@ -40,18 +40,29 @@ def _buckets(data: np.ndarray) -> np.ndarray:
     return ((code * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64)
 
 
-def fitted(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> np.ndarray:
-    """Log chances of each bucket: a column for each language and one for none of them (even); a last row of zeros for places that are no trigram."""
+def fitted(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
+    """Log chances of each bucket: a column for each language and one for none of them (even); a last row of zeros for places that are no trigram.
+
+    Fitted on sample_rows labelled rows at most. Their whole texts are counted in tasks; the driver gets their hashes, and a number for each bucket and language.
+    """
     known = docs.where(F.col(f"`{lang_col}`").isin(*LANGUAGES) & F.col(f"`{text_col}`").isNotNull())
-    part = known.select(F.xxhash64(f"`{id_col}`").alias("h"), F.col(f"`{lang_col}`").alias("lang"), F.substring(f"`{text_col}`", 1, SAMPLE_CHARS).alias("text"))
-    rows = docs.where(F.col(f"`{lang_col}`").isin(*LANGUAGES)).count()
-    if rows > 2 * SAMPLE_ROWS:  # about twice the sample is left to sort, however many tasks there are
-        part = part.where(F.col("h") < int(2 * SAMPLE_ROWS / rows * 2**64) - 2**63)
+    key = F.xxhash64(F.col(f"`{id_col}`").isNull(), f"`{id_col}`", f"`{text_col}`")
+    least = known.select(key.alias("h")).orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
     counts = np.full((BUCKETS, len(LANGUAGES)), ADDED)
-    for row in part.orderBy("h", "text").limit(SAMPLE_ROWS).toLocalIterator():
-        raw = np.frombuffer(row["text"].encode(), np.uint8)
-        if len(raw) > 2:
-            np.add.at(counts[:, LANGUAGES.index(row["lang"])], _buckets(raw), 1)
+    if least is not None:
+        part = known.select(key.alias("h"), F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text")).where(F.col("h") <= least).dropDuplicates(["h"]).select("lang", "text")
+
+        def run(batches):
+            for batch in batches:
+                for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    raw = np.frombuffer(text.encode(), np.uint8)
+                    found = np.bincount(_buckets(raw), minlength=BUCKETS) if len(raw) > 2 else np.zeros(BUCKETS, np.int64)
+                    at = np.flatnonzero(found)
+                    yield pa.RecordBatch.from_arrays([pa.array([LANGUAGES.index(lang)] * len(at), pa.int32()), pa.array(at.astype(np.int32)), pa.array(found[at].astype(np.int64))], ["lang", "bucket", "n"])
+
+        got = part.mapInArrow(run, "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+        lang, bucket, n = (got.column(c).to_numpy() for c in ("lang", "bucket", "n"))
+        counts[bucket, lang] += n
     weights = np.zeros((BUCKETS + 1, len(LANGUAGES) + 1), np.float32)
     weights[:-1, :-1] = np.log(counts / counts.sum(0))
     weights[:-1, -1] = -np.log(BUCKETS)
@@ -79,7 +90,7 @@ def _scores(texts: pa.Array, weights: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return sums, sizes
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", declared_col: str = "lang", host_col: str | None = "source", url_col: str | None = None, weights: np.ndarray | None = None) -> DataFrame:
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", declared_col: str = "lang", host_col: str | None = "source", url_col: str | None = None, weights: np.ndarray | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """One row per row of docs: doc_id, print (of id, text, declaration and host), host, declared, text_lang, lang, confidence, kept.
 
     Null and blank texts have no evidence of their own, are lang und and not kept. A null or unknown declaration, host or address says nothing. Repeated rows each give their row and count in their host's prior. An empty table gives an
@@ -88,7 +99,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     bounded_batches(docs.sparkSession)
     host = F.col(f"`{host_col}`") if host_col else F.regexp_extract(f"`{url_col}`", r"(?s)^.*?://([^/?#:]*)", 1)
     host = F.lower(F.coalesce(host.cast("string"), F.lit("")))
-    models = docs.sparkSession.sparkContext.broadcast(fitted(docs, id_col, text_col, declared_col) if weights is None else weights)
+    models = docs.sparkSession.sparkContext.broadcast(fitted(docs, id_col, text_col, declared_col, sample_rows) if weights is None else weights)
     kind, k = docs.schema[id_col].dataType.simpleString(), len(LANGUAGES)
 
     def run(batches):
@@ -146,7 +157,8 @@ def without_rejected(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs that identify() keeps, all columns as they are."""
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     declared_col, host_col = options.get("declared_col", "lang"), options.get("host_col", "source")
-    gone = written(identify(docs, **options).where("NOT kept").select(F.col("print").alias("__print")).distinct(), "rejected")
-    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
     key = F.xxhash64(*[F.col(f"`{c}`") for c in (id_col, text_col, declared_col, host_col)])
-    return docs.withColumn("__print", key).join(gone, "__print", "left_anti").drop("__print")
+    gone = written(identify(docs, **options).where("NOT kept").select(F.col("print").alias("print")).distinct(), "rejected")
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    name = next(x for x in (f"__print{k}" for k in range(len(docs.columns) + 1)) if x not in {c.lower() for c in docs.columns})
+    return docs.withColumn(name, key).join(gone.withColumnRenamed("print", name), name, "left_anti").drop(name)

@@ -324,8 +324,9 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     marked = rows.join(best, "place").withColumn("stays", order == F.col("best"))
     prints = written(marked.groupBy("print").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("rows")), "marks")
     gone, twice = prints.where("NOT stays").select("print"), prints.where("stays AND rows > 1").select("print")
-    left = docs.withColumn("__print", row_key(id_col, text_col)).join(_few(gone.withColumnRenamed("print", "__print")), "__print", "left_anti")
+    name = next(x for x in (f"__print{k}" for k in range(len(docs.columns) + 1)) if x not in {c.lower() for c in docs.columns})
+    left = docs.withColumn(name, row_key(id_col, text_col)).join(_few(gone.withColumnRenamed("print", name)), name, "left_anti")
     if not twice.isEmpty():  # rows alike in id and text, all of which would stay
-        twice = _few(twice.withColumnRenamed("print", "__print"))
-        left = left.join(twice, "__print", "left_anti").unionByName(left.join(twice, "__print", "left_semi").dropDuplicates(["__print"]))
-    return left.drop("__print")
+        twice = _few(twice.withColumnRenamed("print", name))
+        left = left.join(twice, name, "left_anti").unionByName(left.join(twice, name, "left_semi").dropDuplicates([name]))
+    return left.drop(name)

@@ -228,6 +228,30 @@ def test_languages_of_held_out_rows(spark):
     assert without_rejected(docs).columns == docs.columns
 
 
+def test_models_judge_rows_they_were_not_fitted_on(spark):
+    from folioforge.llm.language_id import fitted
+
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").where("text IS NOT NULL AND length(text) > 40")
+    weights = fitted(docs.where("doc_id % 3 != 0"), "doc_id", "text", "lang", sample_rows=300)
+    other = docs.where("doc_id % 3 = 0")
+    got = identify(other.withColumn("none", other["lang"].substr(1, 0)), declared_col="none", weights=weights).toPandas().merge(other.select("doc_id", "lang").toPandas(), on="doc_id")
+    assert len(got) > 200 and (got["text_lang"] == got["lang_y"]).mean() > 0.97
+
+
+def test_pipeline_filters_keep_columns_of_any_name(spark):
+    from folioforge.llm.ngram_join import without_near_duplicates
+
+    schema = "doc_id long, text string, lang string, source string, `a.b` int, __print int, __print0 int, print int"
+    text = "the house and the garden of the old woman were sold to the man with the dog"
+    rows = [(1, text, "en", "a.com", *range(4)), (2, text, "en", "a.com", *range(4, 8)), (3, None, None, None, *range(4)), (2, text, "en", "a.com", *range(4, 8))]
+    df = spark.createDataFrame(rows, schema)
+    for stage, ids in ((without_near_duplicates, {1, 3}), (without_rejected, {1, 2})):
+        got = stage(df)
+        assert got.columns == df.columns and {r["doc_id"] for r in got.collect()} == ids
+        assert all((r["a.b"], r["__print"], r["print"]) == ((4, 5, 7) if r["doc_id"] == 2 else (0, 1, 3)) for r in got.collect())
+        assert stage(df.limit(0)).count() == 0
+
+
 def test_evidence_of_declaration_and_suffix_decides_short_texts(spark):
     train = spark.read.parquet(f"{MEDIUM}/documents.parquet")
     from folioforge.llm.language_id import fitted
