@@ -9,11 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.llm.support import written
+from folioforge.llm.support import deal_width, written
 
 #: Bytes of text and overhead that a bucket holds on average. A bucket is held in memory by one task.
 BUCKET_BYTES = 8 << 20
 ROW_BYTES = 64
+#: Bytes that a task of the second pass reads: some buckets, one after another, so tasks grow in number with the table and not in size. Beyond MOST_TASKS they grow; a task still holds one bucket at a time.
+TASK_BYTES, MOST_TASKS = 128 << 20, 100_000
 #: Buckets whose first positions are summed together, in the two levels of the prefix sum.
 RUN = 4096
 #: Rows of the table of offsets (24 bytes each) up to which it is broadcast; beyond, it is joined by a shuffle.
@@ -36,7 +38,8 @@ def shuffled_shards(docs: DataFrame, shards: int = 16, seed: int = 20, text_col:
     scattered = kept.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("__row"), F.monotonically_increasing_id().alias("__place")).select(
         F.pmod(F.xxhash64(F.lit(seed + 1), F.col("__place")), F.lit(buckets)).alias("bucket"), record.alias("record")
     )
-    together = scattered.groupBy("bucket").agg(F.sort_array(F.collect_list("record")).alias("records")).sortWithinPartitions("bucket")  # one random stream a task: buckets take it in order
+    tasks = min(buckets, max(deal_width(docs.sparkSession), min(MOST_TASKS, -(-(held["bytes"] or 0) // TASK_BYTES))))
+    together = scattered.repartition(tasks, "bucket").groupBy("bucket").agg(F.sort_array(F.collect_list("record")).alias("records")).sortWithinPartitions("bucket")  # one random stream a task: buckets take it in order
     mixed = together.select("bucket", F.posexplode(F.expr(f"shuffle(records, {seed})")).alias("pos", "record"))
     mixed = written(mixed.select("bucket", F.col("pos").cast("long").alias("pos"), F.col("record.row").alias("row")), "buckets")
 

@@ -14,10 +14,11 @@ from folioforge.llm.support import written
 
 #: Rule and verdict.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-#: Share of a score that comes over links; rounds; rounds after which lineage is cut; distrust less trust, relative to a seed of its own, at which a host is blocked.
-DAMPING, ROUNDS, CUT, MARGIN = 0.85, 12, 4, 0.5
-#: Hosts in a page: of absolute addresses in attributes, and of mail addresses.
-LINK = r"""(?i)(?:(?:href|src|action)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//|[a-z0-9._%+-]@)([a-z0-9-]+(?:\.[a-z0-9-]+)+)"""
+#: Share of a score that comes over links; rounds after which lineage is cut and the change is measured; change at which the rounds end; distrust less trust, relative to a seed of its own, at which a host is blocked.
+DAMPING, CUT, TOLERANCE, MARGIN = 0.85, 4, 1e-4, 0.5
+#: Hosts in a page: the authority of absolute addresses in attributes, which ends where host_of() ends it (and at quotes, white space and tags), and the hosts of mail addresses.
+LINK = r"""(?i)(?:href|src|action)[\x20\x09-\x0D]*=[\x20\x09-\x0D]*["']?[\x20\x09-\x0D]*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'<>\x20\x09-\x0D]+)"""
+MAIL = r"""(?i)[a-z0-9._%+-]@([a-z0-9-]+(?:\.[a-z0-9-]+)+)"""
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -40,8 +41,12 @@ def matched(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def host_verdicts(pages: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, margin: float = MARGIN) -> DataFrame:
-    """host, trust, distrust, method (allow or block). pages: host and verdict (null where no rule fits) of each page; links: a, b and n for each pair of hosts."""
+def host_verdicts(pages: DataFrame, links: DataFrame, damping: float = DAMPING, margin: float = MARGIN, tolerance: float = TOLERANCE) -> DataFrame:
+    """host, trust, distrust, method (allow or block). pages: host and verdict (null where no rule fits) of each page; links: a, b and n for each pair of hosts.
+
+    A seed's own score is 1 - damping times its share, whatever the number of seeds: a PageRank whose seeds add up to one, times their number, so that a verdict doesn't depend on seeds far away.
+    Rounds go on until no score changes by more than the tolerance in CUT rounds. That ends, as the sum of all changes falls by 1 - damping in each.
+    """
     share = lambda v: F.sum(F.when(F.col("verdict") == v, 1.0).otherwise(0.0)) / F.count(F.lit(1))
     seeds = pages.groupBy("host").agg(share("allow").alias("good"), share("block").alias("bad"))
     out, into = links.groupBy("a").agg(F.sum("n").alias("out")), links.groupBy("b").agg(F.sum("n").alias("into"))
@@ -52,14 +57,18 @@ def host_verdicts(pages: DataFrame, links: DataFrame, damping: float = DAMPING,
     nodes = seeds.unionByName(arcs.select(F.col("to").alias("host"), zero.alias("good"), zero.alias("bad"))).groupBy("host").agg(F.max("good").alias("good"), F.max("bad").alias("bad"))
     nodes = written(nodes, "hosts")
     now = nodes.select("host", "good", "bad", (F.col("good") * (1 - damping)).alias("trust"), (F.col("bad") * (1 - damping)).alias("distrust"))
-    if not arcs.isEmpty():
-        for k in range(rounds):
+    done = arcs.isEmpty()
+    while not done:
+        before = now
+        for _ in range(CUT):
             moved = arcs.join(now.select("host", "trust", "distrust"), "host").groupBy(F.col("to").alias("host"))
             moved = moved.agg(F.sum(F.col("trust") * F.col("forth")).alias("t"), F.sum(F.col("distrust") * F.col("back")).alias("d"))
             fresh = lambda seed, got: (F.col(seed) * (1 - damping) + F.coalesce(got, zero) * damping)
             now = nodes.join(moved, "host", "left").select("host", "good", "bad", fresh("good", "t").alias("trust"), fresh("bad", "d").alias("distrust"))
-            if k % CUT == CUT - 1:
-                now = written(now, f"ranks-{k}")
+        now = written(now, "ranks")
+        change = [F.abs(F.col(c) - F.col(f"old_{c}")) for c in ("trust", "distrust")]
+        old = before.select("host", *[F.col(c).alias(f"old_{c}") for c in ("trust", "distrust")])
+        done = now.join(old, "host").agg(F.max(F.greatest(*change)).alias("most")).first()["most"] <= tolerance
     bad = (F.col("distrust") - F.col("trust")) >= margin * (1 - damping)
     return now.select("host", "trust", "distrust", F.when(bad, "block").otherwise("allow").alias("method"))
 
@@ -75,7 +84,8 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     split = pages.select(F.col(f"`{id_col}`").alias("page_id"), host.alias("host"), path.alias("path"))
     rule, verdict = matched(F.col("host"), F.col("path"), rules)
     ruled = split.withColumn("rule", rule).withColumn("ruled", verdict)
-    found = pages.select(host.alias("a"), F.explode(F.regexp_extract_all(F.coalesce(F.col(f"`{html_col}`"), F.lit("")), F.lit(LINK), F.lit(1))).alias("b"))
+    html = F.coalesce(F.col(f"`{html_col}`"), F.lit(""))
+    found = pages.select(host.alias("a"), F.explode(F.concat(*[F.regexp_extract_all(html, F.lit(x), F.lit(1)) for x in (LINK, MAIL)])).alias("b"))
     links = found.withColumn("b", F.translate("b", _UPPER, _LOWER)).where("a != '' AND a != b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
     verdicts = host_verdicts(ruled.where("host != ''").select("host", F.col("ruled").alias("verdict")), written(links, "links"))
     verdicts = written(verdicts, "verdicts")

@@ -13,7 +13,7 @@ from conftest import MEDIUM
 from folioforge.llm.language_id import BUCKETS, LANGUAGES, _buckets, _scores, identify, without_rejected
 from folioforge.llm.packing import Encoder, packed
 from folioforge.llm.secret_scan import ALL, BASE, MORE, Index, Rule, scan_secrets, trigram_query
-from folioforge.llm.url_filter import judge_urls
+from folioforge.llm.url_filter import host_verdicts, judge_urls
 
 DOCS = "doc_id long, text string, lang string, source string, host string, n int, part int"
 
@@ -195,6 +195,42 @@ def test_rules_and_spread_of_distrust(spark):
     assert got[14][2:] == (None, "allow") and got[6][2:] == (None, "allow")
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_ranks_of_hosts(spark, seed):
+    """Against PageRank on a matrix, run until nothing changes; a chain longer than a dozen links is part of it."""
+    rng = np.random.default_rng(seed)
+    n = 60
+    counts = (rng.random((n, n)) < 0.04) * rng.integers(1, 5, (n, n))
+    counts[np.arange(29), np.arange(1, 30)] += 2
+    np.fill_diagonal(counts, 0)
+    said = [rng.choice([None, "allow", "block"], 4, p=[0.7, 0.15, 0.15]) for _ in range(n)]
+    pages = spark.createDataFrame([(f"h{i}", v) for i in range(n) for v in said[i]], "host string, verdict string")
+    links = spark.createDataFrame([(f"h{i}", f"h{j}", int(counts[i, j])) for i, j in zip(*np.nonzero(counts))], "a string, b string, n long")
+    got = {r["host"]: r for r in host_verdicts(pages, links).collect()}
+    out, into = (np.maximum(counts.sum(axis), 1) for axis in (1, 0))
+    forth, back = counts / out[:, None], (counts / into[None, :]).T
+    scores = []
+    for verdict, step in (("allow", forth), ("block", back)):
+        mass = np.array([np.mean([v == verdict for v in s]) for s in said])
+        now = mass * 0.15
+        for _ in range(300):
+            now = mass * 0.15 + 0.85 * now @ step
+        scores.append(now)
+    for i in range(n):
+        r = got[f"h{i}"]
+        assert abs(r["trust"] - scores[0][i]) < 2e-3 and abs(r["distrust"] - scores[1][i]) < 2e-3
+        gap = scores[1][i] - scores[0][i] - 0.075
+        assert abs(gap) < 4e-3 or r["method"] == ("block" if gap > 0 else "allow")
+    assert {r["method"] for r in got.values()} == {"allow", "block"}
+
+
+def test_links_name_hosts_as_addresses_do(spark):
+    rows = [(1, "http://a.com:8080/x", LINKS("b_\u00fc.net")), (2, "http://b_\u00fc.net/", None), (3, "http://q.com/", LINKS("A.com:8080")), (4, "http://c.com/", '<a href="mailto:x@bad.net">'), (5, "http://bad.net/", None), (6, "http://d.com/", LINKS("localhost"))]
+    rows += [(7, "http://localhost/", LINKS("worse.net")), (8, "http://worse.net/", None)]
+    got = {r["page_id"]: r["verdict"] for r in judge_urls(spark.createDataFrame([(*r, "h", 1, "v") for r in rows], PAGES)).collect()}
+    assert set(got.values()) == {"block"}
+
+
 def test_addresses_of_nothing(spark):
     assert judge_urls(spark.createDataFrame([], PAGES)).count() == 0
 
