@@ -4,7 +4,7 @@ import duckdb
 import pytest
 from conftest import SMALL
 
-from folioforge.plans import registry
+from folioforge.plans import registry, rules
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -17,7 +17,7 @@ def db():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+@pytest.mark.parametrize("name", sorted(rules.QUERIES))
 def test_query(spark, db, name):
     got = registry.QUERIES[name](spark, SMALL)
     columns = sorted(got.columns)
