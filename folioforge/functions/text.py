@@ -16,7 +16,6 @@ TOP_VARIANTS = ("3증정관리항목", "4조업관리기준", "3종점관리항
 NOISE = ("뒷장계속", "이하여백", "끝")
 NO_CONTENT = ("해당사항없음", "해당없음")
 PROTECTED = ("품질영향인자", "공정영향인자")
-SUBSCRIPTS, SUPERSCRIPTS = "₀₁₂₃₄₅₆₇₈₉", "⁻⁰¹²³⁴⁵⁶⁷⁸⁹"
 #: Characters at which lines end besides line feeds.
 LINE_ENDS = r"\r\n|[\n\r\x0B\f\x1C-\x1E\x85\u2028\u2029]"
 
@@ -72,22 +71,6 @@ def with_markers(c: Column, filename: Column) -> Column:
     return F.array_join(F.transform(pages_of(c), page), "\n\n")
 
 
-def decoded(c: Column) -> Column:
-    """Angle brackets, then ampersands: what was escaped twice is escaped once."""
-    return F.replace(F.replace(F.replace(c, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&amp;"), F.lit("&"))
-
-
-def _raised(c: Column, tag: str, plain: str, shown: str) -> Column:
-    pattern = rf"(?is)<{tag}>(.*?)</{tag}>"
-    inner = F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), lambda x: F.translate(stripped(x), plain, shown))
-    return F.array_join(F.zip_with(F.split(c, pattern), inner, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-
-
-def sub_and_sup(c: Column) -> Column:
-    """Digits in <sub> and <sup> as Unicode digits; other characters stay, the tags go."""
-    return _raised(_raised(c, "sub", "0123456789", SUBSCRIPTS), "sup", "-0123456789", SUPERSCRIPTS)
-
-
 def eta_co(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)η\s*_\s*\{?\s*CO\s*\}?", "ηCO")
 

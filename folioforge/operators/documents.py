@@ -5,9 +5,10 @@ A document is the unit of work and is never split; documents are dealt evenly be
 
 from __future__ import annotations
 
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.functions import chunking, extraction, headings, mathtext
@@ -89,6 +90,15 @@ def chunked(docs: DataFrame, strict: bool = False) -> DataFrame:
     return each.select("doc_key", number.alias("ord"), F.format_string("TEXT_%03d", number).alias("id"), F.lit("text").alias("component_type"), "c.text", "c.section_path", "c.filename", "c.pages")
 
 
+def split_of(kind: str) -> Column:
+    """The split of a component of one of the lists tables, images_summary, images_translation and texts, from its component_type and id."""
+    if kind == "tables":
+        return F.when((F.col("component_type") == "table_unstructured") | F.col("id").startswith("TB_UNSTR"), "tables_unstr").otherwise("tables_str")
+    if kind == "images_summary":
+        return F.when(F.col("component_type") == "image_formula", "images_formula").otherwise("images_sum")
+    return F.lit("images_trans" if kind == "images_translation" else "texts")
+
+
 def components(found: DataFrame) -> DataFrame:
     """All components of extracted() as rows, with split and ord: tables_str, tables_unstr, images_formula, images_sum, images_trans."""
 
@@ -96,10 +106,12 @@ def components(found: DataFrame) -> DataFrame:
         each = found.select("doc_key", F.posexplode(column).alias("ord", "c")).select("doc_key", (F.col("ord") + 1).alias("ord"), "c.*")
         return each.withColumn("split", split)
 
-    unstructured = (F.col("component_type") == "table_unstructured") | F.col("id").startswith("TB_UNSTR")
-    tables = rows("tables", F.when(unstructured, "tables_unstr").otherwise("tables_str"))
-    summary = rows("images_summary", F.when(F.col("component_type") == "image_formula", "images_formula").otherwise("images_sum"))
-    return tables.unionByName(summary, True).unionByName(rows("images_translation", F.lit("images_trans")), True)
+    return reduce(lambda x, y: x.unionByName(y, True), [rows(kind, split_of(kind)) for kind in ("tables", "images_summary", "images_translation")])
+
+
+def with_texts(parts: DataFrame, texts: DataFrame) -> DataFrame:
+    """Components and chunks of text together, in all six splits."""
+    return parts.unionByName(texts.withColumn("split", split_of("texts")), True)
 
 
 def links(parts: DataFrame) -> DataFrame:
@@ -147,12 +159,3 @@ def plain_math(text: pd.Series) -> pd.Series:
 @arrow("array<string>")
 def windows(text: pd.Series, size: pd.Series, overlap: pd.Series) -> pd.Series:
     return pd.Series([chunking.windows(t or "", int(s), int(o)) for t, s, o in zip(text, size, overlap, strict=True)])
-
-
-def section_paths(titles: DataFrame) -> DataFrame:
-    """doc, ord and path of each heading (doc, ord, level, title): the open sections are folded over the document's headings."""
-    so_far = F.sort_array(F.collect_list(F.struct("ord", "level", "title")).over(Window.partitionBy("doc").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)))
-    step = lambda path, h: F.concat(F.slice(path, F.lit(1), F.least(F.size(path), h["level"] - 1)), F.array(h["title"]))
-    return titles.select("doc", "ord", F.array_join(F.aggregate(so_far, F.array().cast("array<string>"), step), " / ").alias("path"))
-
-

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -71,21 +72,35 @@ def prompts(questions: DataFrame, contexts: DataFrame, system: str = SYSTEM) ->
 
 
 def answers(questions: DataFrame, points: DataFrame, embedder, llm, k: int = 7, distance: str = "cosine", system: str = SYSTEM) -> DataFrame:
-    """qid, question, answer and evidence of each question. A blank question has an empty answer and evidence."""
-
-    @F.pandas_udf("array<float>")
-    def embedded(texts: pd.Series) -> pd.Series:
-        return pd.Series(embedder.embed(texts.tolist()))
-
-    @F.pandas_udf("string")
-    def said(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda p: llm.answer(p, None, 1).strip())
+    """qid, question, answer, evidence, and the seconds that embedding and answering took, of each question. A blank question has an empty answer and evidence, and took no time."""
+
+    @F.pandas_udf("struct<vector:array<float>,seconds:double>")
+    def embedded(texts: pd.Series) -> pd.DataFrame:
+        began = time.perf_counter()
+        found = embedder.embed(texts.tolist())
+        return pd.DataFrame({"vector": list(found), "seconds": (time.perf_counter() - began) / max(1, len(texts))})
+
+    @F.pandas_udf("struct<text:string,seconds:double>")
+    def said(texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for p in texts:
+            began = time.perf_counter()
+            out.append((llm.answer(p, None, 1).strip(), time.perf_counter() - began))
+        return pd.DataFrame(out, columns=["text", "seconds"])
 
     blank = ~F.coalesce("question", F.lit("")).rlike(r"(?U)\S")
-    real = questions.where(~blank)
-    contexts = resolved(retrieved(real.select("qid", embedded("question").alias("query")), points, k, distance), points)
-    done = prompts(real, contexts, system).select("qid", "question", said("prompt").alias("answer"), "evidence")
-    return done.unionByName(questions.where(blank).select(F.col("qid").cast("string").alias("qid"), "question", F.lit("").alias("answer"), F.lit("").alias("evidence")))
+    real = questions.where(~blank).withColumn("__e", embedded("question"))
+    contexts = resolved(retrieved(real.select("qid", F.col("__e.vector").alias("query")), points, k, distance), points)
+    took = real.select(F.col("qid").cast("string").alias("qid"), F.col("__e.seconds").alias("embed_seconds"))
+    done = prompts(real, contexts, system).withColumn("__a", said("prompt")).join(took, "qid")
+    done = done.select("qid", "question", F.col("__a.text").alias("answer"), "evidence", "embed_seconds", F.col("__a.seconds").alias("answer_seconds"))
+    zero = F.lit(0.0)
+    return done.unionByName(questions.where(blank).select(F.col("qid").cast("string").alias("qid"), "question", F.lit("").alias("answer"), F.lit("").alias("evidence"), zero.alias("embed_seconds"), zero.alias("answer_seconds")))
+
+
+def time_sums(done: DataFrame) -> DataFrame:
+    """How many rows there are, and the sum of each column of seconds."""
+    return done.agg(F.count(F.lit(1)).alias("rows"), *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in done.columns if c.endswith("_seconds")])
 
 
 def numbered(questions: DataFrame) -> DataFrame:

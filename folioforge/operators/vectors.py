@@ -70,6 +70,15 @@ def collection_name(base: str = "final_embeddings", distance: str = "cosine", m:
     return "_".join([base, *said])
 
 
+def with_collection(existing: DataFrame, points: DataFrame, name: str, distance: str = "cosine", m: int = 16, ef: int = 100, on_disk: bool = False) -> DataFrame:
+    """The collections there are (name, size, distance, m, ef, on_disk), and the one named if there is none of that name yet. Its size is that of a stored vector; without vectors it isn't made."""
+    kind = distance.strip().lower()
+    kind = "euclid" if kind in ("l2", "euclid", "euclidean") else kind if kind == "dot" else "cosine"
+    settings = {"distance": kind, "m": m, "ef": ef, "on_disk": on_disk}
+    new = points.where("dense IS NOT NULL").limit(1).select(F.lit(name).alias("name"), F.size("dense").alias("size"), *[F.lit(v).alias(k) for k, v in settings.items()])
+    return existing.unionByName(new.join(existing.select("name"), "name", "left_anti").select(*existing.columns))
+
+
 def records(finals: DataFrame, provider, source: str = "") -> DataFrame:
     """Points to store: final records with text, their point_id, source_file and dense vector. Embedding runs in tasks, an Arrow batch at a time."""
     @F.pandas_udf("array<float>")

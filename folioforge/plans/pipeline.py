@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.operators import documents, enrich, finalize, qa, vectors
 from folioforge.operators.providers import EchoLlm, HashedWords
+from folioforge.sources import files
 
 
 @dataclass(frozen=True)
@@ -42,6 +44,8 @@ class Stages:
     results: DataFrame
     finals: DataFrame
     points: DataFrame
+    found: DataFrame
+    judged: DataFrame
 
 
 def stages(docs: DataFrame, config: PipelineConfig = PipelineConfig()) -> Stages:
@@ -54,7 +58,24 @@ def stages(docs: DataFrame, config: PipelineConfig = PipelineConfig()) -> Stages
     asked = enrich.payloads(parts, texts, config.numeric_share)
     results = enrich.answered(asked, config.llm, config.attempts)
     finals = finalize.finalized(parts, chunks, results, config.chunk_size, config.chunk_overlap)
-    return Stages(clean, parts, texts, chunks, asked, results, finals, vectors.records(finals, config.embedder))
+    return Stages(clean, parts, texts, chunks, asked, results, finals, vectors.records(finals, config.embedder), found, enrich.judged_tables(parts, config.numeric_share))
+
+
+def logs(done: Stages) -> DataFrame:
+    """What to look at, as rows of kind, at and said: documents without a top-level heading, tables that stand for themselves, components that weren't found in the text, tables that are left out, answers that can't be used."""
+    missing = done.sanitized.select("doc_key", F.explode("missing_titles").alias("title"))
+    special = done.found.select("doc_key", F.explode("special").alias("t")).select("doc_key", "t.*")
+    lost = done.components.where("NOT substituted")
+    skipped, failed = enrich.skipped_tables(done.judged), done.results.where("NOT ok")
+    text = lambda c: F.col(c).cast("string")
+    parts = [
+        files.audit(missing, "missing_heading", F.col("doc_key"), F.col("title")),
+        files.audit(special, "image_table", F.col("doc_key"), F.col("placeholder"), text("page"), F.col("image_src")),
+        files.audit(lost, "not_found", F.col("doc_key"), F.col("id"), text("page")),
+        files.audit(skipped, "skipped_table", F.col("doc_key"), F.col("id"), F.col("skip_reason"), text("digit_only_cells"), text("total_cells")),
+        files.audit(failed, "answer", F.col("doc_key"), F.col("family"), F.col("id"), F.col("reason")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def answers(questions: DataFrame, points: DataFrame, config: PipelineConfig = PipelineConfig()) -> DataFrame:

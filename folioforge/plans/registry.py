@@ -5,7 +5,7 @@ The tables have no scanned documents, so markup is made from rows inside of a qu
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions import text as tx
@@ -149,23 +149,29 @@ def frac_sqrt_math(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", documents.plain_math(tex).alias("said"))
 
 
-@query("SELECT page_id, replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS said FROM pages")
+def _outlined(text: Column) -> Column:
+    return documents.outlined(text, F.lit(False))["text"]
+
+
+@query("SELECT doc_id, '<i>' || source || ' & ' || lang || '&lt;b> &amp;' || doc_id || '&#60; &' AS said FROM documents")
 def entity_decode(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", tx.decoded(F.col("html")).alias("said"))
+    text = F.concat(F.lit("&lt;i&gt;"), "source", F.lit(" &amp; "), "lang", F.lit("&amp;lt;b&gt; &amp;amp;"), F.col("doc_id").cast("string"), F.lit("&#60; &"))
+    return table(spark, sf_dir, "documents").select("doc_id", _outlined(text).alias("said"))
 
 
 @query("SELECT p_partkey, p_name || translate(p_size::VARCHAR, '0123456789', '₀₁₂₃₄₅₆₇₈₉') || 'x⁻' || translate(p_partkey::VARCHAR, '0123456789', '⁰¹²³⁴⁵⁶⁷⁸⁹') || '+' AS said FROM part")
 def sub_and_sup(spark, sf_dir):
     html = F.concat("p_name", F.lit("<sub> "), F.col("p_size").cast("string"), F.lit(" </sub>x<SUP>-"), F.col("p_partkey").cast("string"), F.lit("+</sup>"))
-    return table(spark, sf_dir, "part").select("p_partkey", tx.sub_and_sup(html).alias("said"))
+    return table(spark, sf_dir, "part").select("p_partkey", _outlined(html).alias("said"))
 
 
-@query("""SELECT conv_id, turn, CASE WHEN k % 3 = 1 THEN cur WHEN k % 3 = 2 THEN up || ' / ' || cur ELSE upper2 || ' / ' || up || ' / ' || cur END AS path FROM (
-    SELECT conv_id, turn, row_number() OVER w AS k, role || turn AS cur, lag(role || turn) OVER w AS up, lag(role || turn, 2) OVER w AS upper2 FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))""")
+@query("""SELECT conv_id, k, CASE WHEN k % 3 = 1 THEN cur WHEN k % 3 = 2 THEN up || ' / ' || cur ELSE upper2 || ' / ' || up || ' / ' || cur END AS path FROM (
+    SELECT conv_id, row_number() OVER w AS k, turn || ' ' || role AS cur, lag(turn || ' ' || role) OVER w AS up, lag(turn || ' ' || role, 2) OVER w AS upper2 FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))""")
 def section_path(spark, sf_dir):
-    k = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))
-    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("ord"), ((k - 1) % 3 + 1).alias("level"), F.concat("role", F.col("turn").cast("string")).alias("title"))
-    return documents.section_paths(rows).select(F.col("doc").alias("conv_id"), F.col("ord").alias("turn"), "path")
+    turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role"))).alias("turns"))
+    line = lambda t, i: F.concat(F.repeat(F.lit("#"), (i % 3 + 1).cast("int")), F.lit(" "), t["turn"].cast("string"), F.lit(" "), t["role"], F.lit("\nsaid"))
+    docs = turns.select(F.col("conv_id").cast("string").alias("doc_key"), F.array_join(F.transform("turns", line), "\n").alias("text"))
+    return documents.chunked(docs).select(F.col("doc_key").cast("long").alias("conv_id"), F.col("ord").cast("long").alias("k"), F.col("section_path").alias("path"))
 
 
 @query("SELECT r_name, row_number() OVER (PARTITION BY r_name ORDER BY n_nationkey) AS n, row_number() OVER (PARTITION BY r_name ORDER BY n_nationkey) || '. ' || n_name AS said FROM nation JOIN region ON n_regionkey = r_regionkey")

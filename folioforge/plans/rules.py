@@ -303,3 +303,10 @@ def upsert_points(spark, sf_dir):
     stored = said.where("turn = 0").select("point_id", "turn", F.concat(F.lit("old "), "role").alias("said"))
     new = said.where("point_id % 2 = 0").select("point_id", "turn", F.concat(F.lit("new "), "role").alias("said"), F.col("turn").alias("ord"))
     return vectors.upserted(stored, new).select("point_id", "turn", "said")
+
+
+@query("SELECT n_name AS doc_key, split, CASE split WHEN 'texts' THEN 2 ELSE 1 END AS n FROM nation, (VALUES ('tables_str'), ('tables_unstr'), ('images_formula'), ('images_sum'), ('texts')) v(split)")
+def split_rows(spark, sf_dir):
+    found = _scanned(spark, sf_dir)
+    texts = documents.chunked(found.select("doc_key", documents.cleaned(F.col("text")).alias("text")))
+    return documents.with_texts(documents.components(found), texts).groupBy("doc_key", "split").agg(F.count(F.lit(1)).alias("n"))

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioforge.operators.documents import split_of
+
 
 def decoded(uri: Column) -> Column:
     """A file's path or name as it is, from the form in which Spark gives it."""
@@ -45,6 +50,22 @@ def json_records(spark: SparkSession, path: str | list[str], schema: str, lenien
     return good, rows.where("_corrupt_record IS NOT NULL").select(F.col("__path").alias("path"), F.col("_corrupt_record").alias("record"))
 
 
+_COMPONENT = (
+    "id string, placeholder string, component_type string, row_flatten array<string>, table_html string, snapshot_html string, full_html string, description string, "
+    "image_link string, text string, section_path string, filename string, page int, pages array<int>"
+)
+
+
+def gathered(spark: SparkSession, root: str) -> DataFrame:
+    """path, ord, split and the fields of each component in the files components.json below root, from their lists tables, images_summary, images_translation and texts. A list that is missing has none."""
+    kinds = ("tables", "images_summary", "images_translation", "texts")
+    shape = ", ".join(f"{k} array<struct<{_COMPONENT}>>" for k in kinds)
+    read = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "components.json").schema(shape).json(root, multiLine=True, mode="FAILFAST")
+    each = read.select(decoded(F.col("_metadata.file_path")).alias("path"), *kinds)
+    rows = [each.select("path", F.posexplode(k).alias("ord", "c")).select("path", (F.col("ord") + 1).alias("ord"), "c.*").withColumn("split", split_of(k)) for k in kinds]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def questions(spark: SparkSession, path: str, column: str = "question") -> DataFrame:
     """A CSV with its column of questions, named as asked whatever its case; an error if there is none."""
     df = spark.read.csv(path, header=True, multiLine=True, escape='"')
@@ -77,6 +98,22 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
+def export_json(df: DataFrame, path: str) -> None:
+    """One file with one array of all records, in the order of df, nulls kept; a single task writes it a batch at a time. For readers that can't take a record a line: write_json() is written by all tasks."""
+
+    def run(batches):
+        yield pa.RecordBatch.from_pydict({"value": ["["]})
+        first = True
+        for batch in batches:
+            lines = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_pydict({"value": [("" if first and not k else ",") + line for k, line in enumerate(lines)]})
+            first = first and not lines
+        yield pa.RecordBatch.from_pydict({"value": ["]"]})
+
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+    df.select(record.alias("value")).coalesce(1).mapInArrow(run, "value string").write.mode("overwrite").text(path)
+
+
 def write_answers(df: DataFrame, path: str) -> None:
     """CSV whose first column's name begins with a byte order mark, as spreadsheets want it."""
     first = df.columns[0]

@@ -1,5 +1,6 @@
 """Rules on single documents, and the whole chain."""
 
+import json
 import uuid
 
 import pytest
@@ -221,3 +222,51 @@ def test_the_last_write_of_a_point_stays(spark):
 @pytest.mark.parametrize("unit", ["mm", "KW", "m/s", "kg/t-p", "g/1000", "C/Hr", "Ton-Slag", "mmAq", "ton-pig", "kcal", "cal/mol"])
 def test_units_in_formulas(unit):
     assert mathtext.without_formulas(f"<math>5 \\text{{ {unit} }}</math>").replace(" ", "") == f"5{unit}"
+
+
+def test_logs_and_time(spark, tmp_path):
+    from folioforge.plans.pipeline import logs
+
+    made = stages(files.markdown(spark, _write(tmp_path)))
+    kinds = [r["kind"] for r in logs(made).collect()]
+    assert kinds.count("answer") == 2 and kinds.count("missing_heading") == 6
+    done = spark.createDataFrame([("a", 0.5, 1.0), ("b", 0.25, 2.0)], "qid string, embed_seconds double, answer_seconds double")
+    assert tuple(qa.time_sums(done).first()) == (2, 0.75, 3.0) and tuple(qa.time_sums(done.limit(0)).first()) == (0, 0.0, 0.0)
+
+
+def test_a_collection_is_made_once(spark):
+    points = spark.createDataFrame([("p", None), ("q", [1.0, 2.0])], "point_id string, dense array<float>")
+    none = spark.createDataFrame([], "name string, size int, distance string, m int, ef int, on_disk boolean")
+    first = vectors.with_collection(none, points, "c", "L2", on_disk=True)
+    assert [tuple(r) for r in first.collect()] == [("c", 2, "euclid", 16, 100, True)]
+    assert vectors.with_collection(first, points, "c").count() == 1
+    assert vectors.with_collection(none, points.limit(0), "c").count() == 0
+
+
+def test_written_and_read_again(spark, tmp_path):
+    rows = spark.createDataFrame([(k, "가\"\n" if k % 2 else None, f"s{k % 2}") for k in range(300)], "k long, said string, split string").repartition(3)
+    files.export_json(rows.orderBy("k"), str(tmp_path / "one"))
+    parts = list((tmp_path / "one").glob("part-*"))
+    got = json.loads(parts[0].read_text())
+    assert len(parts) == 1 and [r["k"] for r in got] == list(range(300)) and got[0]["said"] is None and got[1]["said"] == "가\"\n"
+    files.export_json(rows.limit(0), str(tmp_path / "none"))
+    assert json.loads("".join(p.read_text() for p in (tmp_path / "none").glob("part-*"))) == []
+    files.write_json(rows, str(tmp_path / "lines"))
+    assert spark.read.json(str(tmp_path / "lines")).select("k", "said").exceptAll(rows.select("k", "said")).count() == 0
+    files.write_split(rows, str(tmp_path / "split"))
+    assert spark.read.parquet(str(tmp_path / "split" / "split=s1")).count() == 150
+    files.write_answers(rows.where("said IS NOT NULL").select("said", "k"), str(tmp_path / "csv"))
+    back = spark.read.csv(str(tmp_path / "csv"), header=True, multiLine=True, escape='"')
+    assert back.count() == 150 and {r[0] for r in back.collect()} == {"가\"\n"}
+    (tmp_path / "a" / "components").mkdir(parents=True)
+    (tmp_path / "a" / "components" / "i.png").write_bytes(b"png")
+    assert [(r["rel"], bytes(r["content"])) for r in files.assets(spark, str(tmp_path / "a")).collect()] == [("components/i.png", b"png")]
+
+
+def test_components_are_gathered(spark, tmp_path):
+    for name, data in (("a", {"tables": [{"id": "TB_STR_001"}, {"id": "TB_UNSTR_001"}, {"id": "x", "component_type": "table_unstructured"}], "texts": [{"id": "TEXT_001", "text": "t"}]}), ("b", {"images_summary": [{"id": "i", "component_type": "image_formula"}, {"id": "j"}], "images_translation": [{"id": "k"}]})):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "components.json").write_text(json.dumps(data))
+        (tmp_path / name / "other.json").write_text("[]")
+    got = {r["id"]: (r["split"], r["ord"]) for r in files.gathered(spark, str(tmp_path)).collect()}
+    assert got == {"TB_STR_001": ("tables_str", 1), "TB_UNSTR_001": ("tables_unstr", 2), "x": ("tables_unstr", 3), "TEXT_001": ("texts", 1), "i": ("images_formula", 1), "j": ("images_sum", 2), "k": ("images_trans", 1)}
