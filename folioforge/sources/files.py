@@ -101,23 +101,27 @@ def write_json(df: DataFrame, path: str) -> None:
 def export_json(df: DataFrame, path: str) -> None:
     """One file with one array of all records, in the order of df, nulls kept; a single task writes it a batch at a time. For readers that can't take a record a line: write_json() is written by all tasks."""
 
+    def said(lines):
+        return pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+
     def run(batches):
-        yield pa.RecordBatch.from_pydict({"value": ["["]})
+        yield said(["["])
         first = True
         for batch in batches:
-            lines = batch.column(0).to_pylist()
-            yield pa.RecordBatch.from_pydict({"value": [("" if first and not k else ",") + line for k, line in enumerate(lines)]})
+            lines = [x for x in batch.column(0).to_pylist() if x is not None]
+            yield said([("" if first and not k else ",") + line for k, line in enumerate(lines)])
             first = first and not lines
-        yield pa.RecordBatch.from_pydict({"value": ["]"]})
+        yield said(["]"])
 
     record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
-    df.select(record.alias("value")).coalesce(1).mapInArrow(run, "value string").write.mode("overwrite").text(path)
+    last = df.sparkSession.range(1).select(F.lit(None).cast("string").alias("value"))  # so that there is a task where there is no record
+    df.select(record.alias("value")).unionByName(last).coalesce(1).mapInArrow(run, "value string").write.mode("overwrite").text(path)
 
 
 def write_answers(df: DataFrame, path: str) -> None:
     """CSV whose first column's name begins with a byte order mark, as spreadsheets want it."""
     first = df.columns[0]
-    df.withColumnRenamed(first, "﻿" + first).write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    df.withColumnRenamed(first, "﻿" + first).write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("quoteAll", True).option("escape", '"').csv(path)
 
 
 def assets(spark: SparkSession, root: str) -> DataFrame:
