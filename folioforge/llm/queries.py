@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioforge.llm.best_fit import best_fit
 from folioforge.llm.embedding_dedup import near_embeddings
+from folioforge.llm.erasure import erase_masters
 from folioforge.llm.exact_dedup import label_duplicates
+from folioforge.llm.fill_middle import fill_digests
 from folioforge.llm.language_id import identify
 from folioforge.llm.line_dedup import dedup_lines
 from folioforge.llm.mixing import mix_accounts
@@ -83,6 +86,18 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_embeddings(table(spark, sf_dir, "embeddings"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_erasure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return erase_masters(*[table(spark, sf_dir, name) for name in ("clients", "clicks", "sales", "sale_lines")])
+
+
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_line_dedup": op2_line_dedup,
@@ -94,6 +109,9 @@ QUERIES = {
     "op8_shard": op8_shard,
     "op9_packing": op9_packing,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_erasure": op12_erasure,
+    "op13_best_fit": op13_best_fit,
     "language_id_pages": language_id_pages,
 }
 
@@ -140,4 +158,12 @@ ORACLES = {
         sound AS (SELECT * FROM every WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(v, v) > 0),
         links AS (SELECT x.id AS a, y.id AS b FROM sound x JOIN sound y ON x.label = y.label AND len(x.v) = len(y.v) AND x.id <> y.id WHERE list_cosine_similarity(x.v, y.v) >= 0.93),{_REACHED}
         SELECT id AS vec_id, (SELECT count(*) FROM links WHERE a = e.id) AS n_links, component_id, id = component_id AS kept FROM every e JOIN least USING (id)""",
+    "op11_fill_middle": r"""
+        WITH drawn AS (SELECT doc_id, coalesce(text, '') AS t, length(t) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h, [('0x' || h[8 * k + 1:8 * k + 8])::BIGINT FOR k IN [0, 1, 2, 3]] AS d FROM documents),
+        cut AS (SELECT *, least(d[1] % (n + 1), d[2] % (n + 1)) AS x, greatest(d[1] % (n + 1), d[2] % (n + 1)) AS y,
+          CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR d[3] % 100 >= 90 THEN 'plain' WHEN d[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+        parts AS (SELECT *, substring(t, 1, x) AS p, substring(t, x + 1, y - x) AS m, substring(t, y + 1) AS s FROM cut)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN x END AS prefix_chars, CASE WHEN form <> 'plain' THEN y - x END AS middle_chars,
+          sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN concat('<P>', p, '<S>', s, '<M>', m) ELSE concat('<S>', s, '<P>', p, '<M>', m) END) AS output_sha256, sha256(t) AS restored_sha256
+        FROM parts""",
 }
