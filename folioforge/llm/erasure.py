@@ -2,7 +2,8 @@
 
 Sorting. A row's key is one string of bytes whose order is that of its columns from left to right, nulls first: a byte that tells nulls from values, then the value in bytes that compare as it does (see memcomparable); the row's place in the table
 ends it, so keys differ, and equal rows split like any others. Keys are partitioned by their most significant bits, as many as the rows need, and buckets with too many rows again by the next ones that differ in them. What is counted before a bucket is
-the rank of its first row, so the files of most rows are known from counts alone; rows of the few buckets that lie across the border of a file get their ranks within the bucket. Rows move once, to the file that holds them.
+the rank of its first row, so the files of most rows are known from counts alone; rows of the few buckets that lie across the border of a file get their ranks within the bucket. Rows move once, to the file that holds them. Several tables are
+partitioned together: each begins as a bucket of its own.
 
 Erasing. Victims are a table of ids. Those that occur in a file come to it as one sorted array, which heads its rows in one stream; numpy's searchsorted masks them batch by batch. New files are written beside the table, and take the places of the old ones when all are there.
 """
@@ -11,7 +12,9 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioforge.llm.support import _file, bounded_batches, few, shared_folder, written
+from folioforge.llm.support import _file, bounded_batches, collected, deal_width, few, shared_folder, written
 
 #: A file has one row more than this share of its table's rows.
 FILES = 150
@@ -30,6 +33,8 @@ BUCKETS, LEAST_ROWS, SPARE_BITS, MOST_BITS = 8, 1024, 6, 16
 BYTES = 7
 #: Rows (50 bytes each at most) up to which tables of buckets are broadcast; beyond, they are joined by a shuffle. Buckets are BUCKETS for each file and a few.
 BROADCAST_ROWS = 500_000
+#: Rows of a task that files are dealt to, where they are many.
+TASK_ROWS = 200_000
 _TOP = np.uint64(1 << 63)
 
 
@@ -120,14 +125,19 @@ def keyed(rows: DataFrame) -> DataFrame:
 class Level:
     """A round of partitioning.
 
-    spans: parent (rank of the first row of a bucket that was too large), depth (bytes of the key before those looked at), lo and shift: digit = (bytes looked at - lo) >> shift. digits: parent, digit, to (rank of the first row of
-    the bucket that the digit is in), held (rows of that bucket) and open (is it still too large).
+    spans: parent (rank of the first row of a bucket that was too large), most (rows that a bucket may have), depth (bytes of the key before those looked at), lo and shift: digit = (bytes looked at - lo) >> shift. digits: parent, digit, to (rank of the
+    first row of the bucket that the digit is in), held (rows of that bucket) and open (is it still too large).
     """
 
     spans: DataFrame
     digits: DataFrame
 
 
+def _small(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder, broadcast where it is joined if it is small."""
+    return few(written(df, name, tidy=False), BROADCAST_ROWS)
+
+
 def _looked(depth: str) -> str:
     return f"cast(conv(rpad(hex(substring(key, cast({depth} AS int) + 1, {BYTES})), {2 * BYTES}, '0'), 16, 10) AS long)"
 
@@ -137,125 +147,146 @@ def _digit() -> Column:
 
 
 def walked(rows: DataFrame, levels: list[Level]) -> DataFrame:
-    """rows (with key) and parent, first and size: the rank of the first row of a row's bucket is parent if the bucket is still too large, else first, and size its rows."""
+    """rows (with key, and base: the rank of its table's first row) and parent, first and size: the rank of the first row of a row's bucket is parent if the bucket is still too large, else first, and size its rows."""
     own, none = [F.col(f"`{c}`") for c in rows.columns], F.lit(None).cast("long")
-    at = rows.select("*", F.lit(0).cast("long").alias("parent"), none.alias("first"), none.alias("size"))
+    at = rows.select("*", F.col("base").alias("parent"), none.alias("first"), none.alias("size"))
     for level in levels:
-        at = at.join(few(level.spans, BROADCAST_ROWS), "parent", "left").withColumn("digit", _digit())
-        at = at.join(few(level.digits, BROADCAST_ROWS), ["parent", "digit"], "left")
+        at = at.join(level.spans, "parent", "left").withColumn("digit", _digit()).join(level.digits, ["parent", "digit"], "left")
         at = at.select(*own, F.when(F.col("open"), F.col("to")).alias("parent"), F.when(~F.col("open"), F.col("to")).otherwise(F.col("first")).alias("first"), F.when(~F.col("open"), F.col("held")).otherwise(F.col("size")).alias("size"))
     return at
 
 
-def radix_levels(keys: DataFrame, rows: int, most: int) -> list[Level]:
-    """Rounds of partitioning until no bucket has more than 2 * most rows. keys: key (binary, all different), so many rows."""
+def radix_levels(keys: DataFrame, sizes: list[tuple[int, int]]) -> list[Level]:
+    """Rounds of partitioning until no bucket of a table has more than twice the rows that it may. keys: base, and key (binary, all different within a table); sizes: rows and most rows of a bucket for each table, one after another."""
     spark, levels = keys.sparkSession, []
-    bits = min(MOST_BITS, max(1, (rows // most).bit_length() + SPARE_BITS))
-    spans = spark.createDataFrame([(0, 0, 0, 8 * BYTES - bits)], "parent long, depth long, lo long, shift long")
+    bits = [min(MOST_BITS, max(1, (n // most).bit_length() + SPARE_BITS)) for n, most in sizes]
+    bases = np.cumsum([0, *[n for n, _ in sizes]]).tolist()
+    every = [(base, most, 0, 0, 8 * BYTES - b) for base, (n, most), b in zip(bases, sizes, bits, strict=False) if n]
+    spans = _small(spark.createDataFrame(every, "parent long, most long, depth long, lo long, shift long"), "spans")
     while True:
-        at = walked(keys, levels).where("parent IS NOT NULL").join(few(spans, BROADCAST_ROWS), "parent").withColumn("digit", _digit())
-        counts = written(at.groupBy("parent", "digit").agg(F.count(F.lit(1)).alias("many")), "digits")
+        at = walked(keys, levels).where("parent IS NOT NULL").join(spans, "parent").withColumn("digit", _digit())
+        counts = written(at.groupBy("parent", "digit").agg(F.first("most").alias("most"), F.count(F.lit(1)).alias("many")), "digits", tidy=False)
         before = F.sum("many").over(Window.partitionBy("parent").orderBy("digit")) - F.col("many")
-        told = counts.withColumns({"before": before, "open": F.col("many") > most}).withColumn("block", F.when(F.col("open"), F.col("digit")).otherwise(F.expr(f"before div {most}")))
+        told = counts.withColumns({"before": before, "open": F.col("many") > F.col("most")}).withColumn("block", F.when(F.col("open"), F.col("digit")).otherwise(F.expr("before div most")))
         bucket = Window.partitionBy("parent", "open", "block")
         digits = told.select("parent", "digit", (F.col("parent") + F.min("before").over(bucket)).alias("to"), F.sum("many").over(bucket).alias("held"), "open")
-        levels.append(Level(spans, written(digits, "buckets")))
-        large = levels[-1].digits.where("open").join(spans, "parent").select(F.col("to").alias("parent"), "held", F.when(F.col("shift") > 0, F.col("depth")).otherwise(F.col("depth") + BYTES).alias("depth"))
-        large = written(large, "large-buckets")
+        levels.append(Level(spans, _small(digits, "buckets")))
+        large = levels[-1].digits.where("open").join(spans, "parent").select(F.col("to").alias("parent"), "most", "held", F.when(F.col("shift") > 0, F.col("depth")).otherwise(F.col("depth") + BYTES).alias("depth"))
+        large = _small(large, "large-buckets")
         if large.isEmpty():
             return levels
         # where the bytes are those of all rows of a bucket, the next ones are looked at
-        seen = walked(keys, levels).where("parent IS NOT NULL").join(few(large, BROADCAST_ROWS), "parent").select("parent", "held", "depth", F.expr(_looked("depth")).alias("x"), F.expr(_looked(f"depth + {BYTES}")).alias("y"))
-        ends = seen.groupBy("parent", "held", "depth").agg(*[f(c).alias(f"{name}_{c}") for c in "xy" for name, f in (("lo", F.min), ("hi", F.max))])
+        seen = walked(keys, levels).where("parent IS NOT NULL").join(large, "parent").select("parent", "most", "held", "depth", F.expr(_looked("depth")).alias("x"), F.expr(_looked(f"depth + {BYTES}")).alias("y"))
+        ends = seen.groupBy("parent", "most", "held", "depth").agg(*[f(c).alias(f"{name}_{c}") for c in "xy" for name, f in (("lo", F.min), ("hi", F.max))])
         same = F.col("lo_x") == F.col("hi_x")
         lo, hi = F.when(same, F.col("lo_y")).otherwise(F.col("lo_x")), F.when(same, F.col("hi_y")).otherwise(F.col("hi_x"))
-        wanted = F.least(F.lit(MOST_BITS), F.ceil(F.log2(F.col("held") / most)) + SPARE_BITS)
-        spans = ends.select("parent", (F.col("depth") + F.when(same, F.lit(BYTES)).otherwise(F.lit(0))).alias("depth"), lo.alias("lo"), F.greatest(F.lit(0), F.length(F.bin(hi - lo)) - wanted).cast("long").alias("shift"))
-        spans = written(spans, "spans")
+        wanted = F.least(F.lit(MOST_BITS), F.ceil(F.log2(F.col("held") / F.col("most"))) + SPARE_BITS)
+        shift = F.greatest(F.lit(0), F.length(F.bin(hi - lo)) - wanted).cast("long")
+        spans = _small(ends.select("parent", "most", (F.col("depth") + F.when(same, F.lit(BYTES)).otherwise(F.lit(0))).alias("depth"), lo.alias("lo"), shift.alias("shift")), "spans")
 
 
 @dataclass
 class Stored:
     """A table as files: <path>/<file>=<number>/ has one Parquet file of per_file consecutive rows of its sorted rows, the last the rest."""
 
+    name: str
     path: str
     file: str
     schema: T.StructType
     rows: int
     per_file: int
 
-    @property
-    def files(self) -> int:
-        return max(1, -(-self.rows // self.per_file))
+    def tasks(self, spark: SparkSession) -> int:
+        """Tasks that its rows are dealt to by their files. A task takes some files, one after another."""
+        return max(1, min(-(-self.rows // self.per_file), deal_width(spark) + self.rows // TASK_ROWS))
+
+    def read(self, spark: SparkSession, *more: Column) -> DataFrame:
+        """file, at (a row's place in its file), row and more."""
+        every = spark.read.schema(T.StructType([*self.schema.fields, T.StructField(self.file, T.LongType())])).parquet(self.path)
+        row = F.struct(*[F.col(f"`{c}`") for c in self.schema.names]).alias("row")
+        return every.select(F.col(f"`{self.file}`").alias("file"), F.col("_metadata.row_index").alias("at"), row, *more)
+
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(T.StructType([*self.schema.fields, T.StructField(self.file, T.LongType())])).parquet(self.path)
+def together(do, items: list) -> list:
+    """do(*item) for all items at once, each in a thread of the driver: what runs in Spark are small steps of one table each, which leave most of a cluster idle."""
+    with ThreadPoolExecutor(len(items)) as pool:
+        return [f.result() for f in [pool.submit(do, *item) for item in items]]
 
 
-def _written_by_file(rows: DataFrame, file: str, tasks: int, path: str) -> None:
-    """rows: file, at (their order in it), row. A task writes some files, one after another."""
-    dealt = rows.repartition(tasks, "file").sortWithinPartitions("file", "at")
-    dealt.select("row.*", F.col("file").alias(file)).write.partitionBy(file).parquet(path)
+def _written_by_file(rows: DataFrame, table: Stored, path: str) -> None:
+    """rows: file, at (their order in it), row."""
+    dealt = rows.repartition(table.tasks(rows.sparkSession), "file").sortWithinPartitions("file", "at")
+    dealt.select("row.*", F.col("file").alias(table.file)).write.partitionBy(table.file).parquet(path)
 
 
-def sorted_files(rows: DataFrame, path: str, files: int = FILES) -> Stored:
-    """Writes rows (row, and lead, a string) sorted by the crc32 of lead, then by all columns of row from left to right, ascending, nulls first, as files of 1 + floor(n / files) rows.
+def sorted_files(tables: dict[str, DataFrame], folder: str, files: int = FILES) -> dict[str, Stored]:
+    """Writes each table's rows (row, and lead, a string) sorted by the crc32 of lead, then by all columns of row from left to right, ascending, nulls first, as files of 1 + floor(n / files) rows.
 
     Rows that are alike are kept as often as they occur. An empty table has no files.
     """
-    kind = rows.schema["row"].dataType
-    table = written(keyed(rows), "keyed")
-    n = table.count()
-    per = 1 + n // files
-    out = Stored(path, fresh(kind.names, "file"), kind, n, per)
-    placed = walked(table, radix_levels(table.select("key"), n, max(LEAST_ROWS, per // BUCKETS)))
-    placed = placed.withColumns({"low": F.expr(f"first div {per}"), "high": F.expr(f"(first + size - 1) div {per}")})
-    whole = placed.where("low = high").select("row", F.col("key").alias("at"), F.col("low").alias("file"))
-    rank = F.col("first") + F.row_number().over(Window.partitionBy("first").orderBy("key")) - 1
-    cut = placed.where("low < high").withColumn("rank", rank).select("row", F.col("key").alias("at"), F.expr(f"rank div {per}").alias("file"))
-    _written_by_file(whole.unionByName(cut), out.file, out.files, path)
+    keys = dict(zip(tables, together(lambda rows: (k := written(keyed(rows), "keyed", tidy=False), k.count()), [(x,) for x in tables.values()]), strict=True))
+    out, base, based = {}, 0, {}
+    for name, (k, n) in keys.items():
+        kind = k.schema["row"].dataType
+        out[name] = Stored(name, f"{folder}/{name}", fresh(kind.names, "file"), kind, n, 1 + n // files)
+        based[name] = k.withColumn("base", F.lit(base).cast("long"))
+        base += n
+    sizes = [(t.rows, max(LEAST_ROWS, t.per_file // BUCKETS)) for t in out.values()]
+    levels = radix_levels(reduce(DataFrame.unionByName, [k.select("base", "key") for k in based.values()]), sizes) if base else []
+
+    def put(table: Stored, rows: DataFrame) -> None:
+        per = table.per_file
+        placed = walked(rows, levels).withColumns({"first": F.col("first") - F.col("base")})
+        placed = placed.withColumns({"low": F.expr(f"first div {per}"), "high": F.expr(f"(first + size - 1) div {per}")})
+        whole = placed.where("low = high").select("row", F.col("key").alias("at"), F.col("low").alias("file"))
+        rank = F.col("first") + F.row_number().over(Window.partitionBy("first").orderBy("key")) - 1
+        cut = placed.where("low < high").withColumn("rank", rank).select("row", F.col("key").alias("at"), F.expr(f"rank div {per}").alias("file"))
+        _written_by_file(whole.unionByName(cut), table, table.path)
+
+    together(put, [(out[name], based[name]) for name in out])
+    collected(keys[name][0].sparkSession)
     return out
 
 
-def victims_by_file(table: Stored, spark: SparkSession, id_col: str, victims: DataFrame) -> DataFrame:
-    """file and ids (sorted) for each file that holds a victim: the ids of its victims. victims: a column of ids, in any order."""
-    held = table.read(spark).select(F.col(f"`{table.file}`").alias("file"), F.col(f"`{id_col}`").cast("long").alias("id")).where("id IS NOT NULL").distinct()
-    met = held.join(victims.toDF("id").where("id IS NOT NULL").distinct(), "id", "left_semi")
-    return written(met.groupBy("file").agg(F.sort_array(F.collect_list("id")).alias("ids")), "victims")
+def victims_by_file(spark: SparkSession, erased: list[tuple[Stored, str, DataFrame]]) -> DataFrame:
+    """table_name, file and ids (sorted) for each file that holds a victim: the ids of its victims. erased: tables, the columns of their ids, and victims (a column of ids, in any order)."""
+    held = [t.read(spark, F.col(f"`{c}`").cast("long").alias("id")).select(F.lit(t.name).alias("table_name"), "file", "id") for t, c, _ in erased]
+    named = [v.toDF("id").select(F.lit(t.name).alias("table_name"), F.col("id").cast("long").alias("id")) for t, _, v in erased]
+    asked = written(reduce(DataFrame.union, named).where("id IS NOT NULL").distinct(), "victims", tidy=False)
+    met = reduce(DataFrame.union, held).where("id IS NOT NULL").distinct().join(few(asked, BROADCAST_ROWS), ["table_name", "id"], "left_semi")
+    return _small(met.groupBy("table_name", "file").agg(F.sort_array(F.collect_list("id")).alias("ids")), "victims-by-file")
 
 
-def rewritten(table: Stored, spark: SparkSession, id_col: str, found: DataFrame) -> None:
-    """Writes the files of found (see victims_by_file) again without the rows whose id is among the victims; a file that none are left of goes.
+def rewritten(table: Stored, spark: SparkSession, id_col: str, victims: DataFrame) -> None:
+    """Writes the files of victims (see victims_by_file) again without the rows whose id is among the victims; a file that none are left of goes.
 
     New files are written beside the table and only then take the places of the old ones, so a failure before leaves the table as it was.
     """
-    every = table.read(spark)
-    row = F.struct(*[F.col(f"`{c}`") for c in table.schema.names]).alias("row")
-    rows = every.select(row, F.col(f"`{table.file}`").alias("file"), F.col("_metadata.row_index").alias("at"), F.col(f"`{id_col}`").cast("long").alias("id"))
-    rows = rows.join(F.broadcast(found.select("file")) if table.files <= BROADCAST_ROWS else found.select("file"), "file", "left_semi").select("row", "file", "at", "id")
+    found = victims.where(F.col("table_name") == table.name).select("file", "ids")
+    rows = table.read(spark, F.col(f"`{id_col}`").cast("long").alias("id")).join(found.select("file"), "file", "left_semi").select("row", "file", "at", "id")
     kind = rows.schema["row"].dataType
     heads = found.select(F.lit(None).cast(kind).alias("row"), "file", F.lit(-1).cast("long").alias("at"), F.lit(None).cast("long").alias("id"), "ids")
-    stream = rows.withColumn("ids", F.lit(None).cast("array<long>")).unionByName(heads).repartition(table.files, "file").sortWithinPartitions("file", "at")
+    stream = rows.withColumn("ids", F.lit(None).cast("array<long>")).unionByName(heads).repartition(table.tasks(spark), "file").sortWithinPartitions("file", "at")
 
     def survivors(batches):
         gone = np.zeros(0, np.int64)
         for batch in batches:
-            heads_, ids = batch.column(4), batch.column(3)
-            keep = np.ones(batch.num_rows, bool)
-            numbers, known = np.asarray(ids.fill_null(0)), np.asarray(ids.is_valid())
-            starts = np.flatnonzero(np.asarray(heads_.is_valid()))
+            ids, heads_ = batch.column(3), batch.column(4)
+            numbers, keep = np.asarray(ids.fill_null(0)), np.asarray(heads_.is_null()).copy()
+            known = np.asarray(ids.is_valid())
+            starts = np.flatnonzero(~keep).tolist()
             for a, b in zip([0, *starts], [*starts, batch.num_rows], strict=True):
-                if a < b and heads_[int(a)].is_valid:
-                    gone = np.asarray(heads_[int(a)].values, np.int64)
-                    keep[a] = False
-                at = np.searchsorted(gone, numbers[a:b])
-                keep[a:b] &= ~(known[a:b] & (at < len(gone)) & (gone[np.minimum(at, len(gone) - 1)] == numbers[a:b]) if len(gone) else known[a:b] & False)
+                if a < b and not keep[a]:
+                    gone = np.asarray(heads_[a].values, np.int64)
+                at = np.minimum(np.searchsorted(gone, numbers[a:b]), max(len(gone) - 1, 0))
+                if len(gone):
+                    keep[a:b] &= ~(known[a:b] & (gone[at] == numbers[a:b]))
             yield batch.filter(pa.array(keep)).select([0, 1, 2])
 
     bounded_batches(spark)
     left = stream.mapInArrow(survivors, T.StructType([T.StructField("row", kind), T.StructField("file", T.LongType()), T.StructField("at", T.LongType())]))
     staged = f"{table.path}-staged"
-    _written_by_file(left, table.file, table.files, staged)
+    _written_by_file(left, table, staged)
     files, root = _file(spark, table.path)
     new = _file(spark, staged)[1]
     Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
@@ -271,42 +302,49 @@ def rewritten(table: Stored, spark: SparkSession, id_col: str, found: DataFrame)
     files.delete(new, True)
 
 
-def file_facts(table: Stored, spark: SparkSession, amount: str) -> DataFrame:
-    """file, path, n_rows, cents (sum of floor(100 * amount + 0.5), null 0) and ids_sha256 (of the first column in the file's order, decimal, null empty, comma-joined), for each file."""
-    first = F.col(f"`{table.schema.names[0]}`").cast("string")
-    cents = F.coalesce(F.floor(F.col(f"`{amount}`") * 100 + 0.5), F.lit(0)).cast("long")
-    rows = table.read(spark).select(F.col(f"`{table.file}`").alias("file"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("at"), F.coalesce(first, F.lit("")).alias("id"), cents.alias("cents"))
-    stream = rows.repartition(table.files, "file").sortWithinPartitions("file", "at")
-    names = ["file", "path", "n_rows", "cents", "ids_sha256"]
+def file_facts(spark: SparkSession, tables: list[tuple[Stored, str]]) -> DataFrame:
+    """table_name, file, path, n_rows, cents (sum of floor(100 * amount + 0.5), null 0) and ids_sha256 (of the first column in the file's order, decimal, null empty, comma-joined), for each file of the tables, given with the columns of their amounts."""
+
+    def narrow(table: Stored, amount: str) -> DataFrame:
+        first = F.coalesce(F.col(f"`{table.schema.names[0]}`").cast("string"), F.lit("")).alias("id")
+        cents = F.coalesce(F.floor(F.col(f"`{amount}`") * 100 + 0.5), F.lit(0)).cast("long").alias("cents")
+        rows = table.read(spark, F.col("_metadata.file_path").alias("path"), first, cents)
+        return rows.select(F.lit(table.name).alias("table_name"), "file", "path", "at", "id", "cents")
+
+    stream = reduce(DataFrame.union, [narrow(*x) for x in tables]).repartition(sum(t.tasks(spark) for t, _ in tables), "table_name", "file").sortWithinPartitions("table_name", "file", "at")
+    names = ["table_name", "file", "path", "n_rows", "cents", "ids_sha256"]
 
     def summed(batches):
-        now, path, n, total, digest = None, None, 0, 0, None
-        done = lambda: pa.RecordBatch.from_arrays([pa.array([x]) for x in (now, path, n, total, digest.hexdigest())], names)
+        now, n, total, digest = None, 0, 0, None
+        done = lambda: pa.RecordBatch.from_arrays([pa.array([x]) for x in (*now, n, total, digest.hexdigest())], names)
         for batch in batches:
-            of = np.asarray(batch.column(0))
-            starts = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)] if len(of) else [0]
-            for a, b in zip(starts, starts[1:], strict=False):
-                if of[a] != now:
+            of, which = np.asarray(batch.column(1)), batch.column(0).dictionary_encode().indices
+            which = np.asarray(which)
+            cuts = [0, *(np.flatnonzero((of[1:] != of[:-1]) | (which[1:] != which[:-1])) + 1).tolist(), len(of)] if len(of) else [0]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                here = tuple(batch.column(k)[a].as_py() for k in range(3))
+                if here != now:
                     if now is not None:
                         yield done()
-                    now, path, n, total, digest = int(of[a]), batch.column(1)[a].as_py(), 0, 0, hashlib.sha256()
-                digest.update((("," if n else "") + ",".join(batch.column(3).slice(a, b - a).to_pylist())).encode())
+                    now, n, total, digest = here, 0, 0, hashlib.sha256()
+                digest.update((("," if n else "") + ",".join(batch.column(4).slice(a, b - a).to_pylist())).encode())
                 n += b - a
-                total += sum(batch.column(4).slice(a, b - a).to_pylist())
+                total += sum(batch.column(5).slice(a, b - a).to_pylist())
         if now is not None:
             yield done()
 
-    return stream.mapInArrow(summed, "file long, path string, n_rows long, cents long, ids_sha256 string")
+    return stream.mapInArrow(summed, "table_name string, file long, path string, n_rows long, cents long, ids_sha256 string")
 
 
-def erase(table: Stored, spark: SparkSession, id_col: str, victims: DataFrame, amount: str) -> DataFrame:
-    """Erases the rows whose id_col is among the victims, and returns file_facts of the files that are left, with file_no, n_erased, rewritten and columns."""
-    found = victims_by_file(table, spark, id_col, victims)
-    rewritten(table, spark, id_col, found)
-    left = written(file_facts(table, spark, amount), "files")
-    told = left.join(few(found.select("file", F.lit(True).alias("hit")), BROADCAST_ROWS), "file", "left")
-    held = F.least(F.lit(table.per_file), F.lit(table.rows) - F.col("file") * table.per_file)
-    return told.select(F.col("file").alias("file_no"), "n_rows", (held - F.col("n_rows")).cast("long").alias("n_erased"), "cents", F.coalesce("hit", F.lit(False)).alias("rewritten"), "ids_sha256", F.lit(",".join(table.schema.names)).alias("columns"), "path")
+def erase(spark: SparkSession, erased: list[tuple[Stored, str, DataFrame, str]]) -> DataFrame:
+    """Erases the rows whose ids are among the victims (tables, the columns of their ids, victims, and the columns of their amounts), and returns file_facts of the files that are left, with file_no, n_erased, rewritten and columns."""
+    found = victims_by_file(spark, [x[:3] for x in erased])
+    together(lambda table, id_col: rewritten(table, spark, id_col, found), [x[:2] for x in erased])
+    left = written(file_facts(spark, [(x[0], x[3]) for x in erased]), "files")
+    known = spark.createDataFrame([(t.name, t.rows, t.per_file, ",".join(t.schema.names)) for t, *_ in erased], "table_name string, rows long, per long, columns string")
+    told = left.join(F.broadcast(known), "table_name").join(found.select("table_name", "file", F.lit(True).alias("hit")), ["table_name", "file"], "left")
+    held = F.least(F.col("per"), F.col("rows") - F.col("file") * F.col("per"))
+    return told.select("table_name", F.col("file").alias("file_no"), "n_rows", (held - F.col("n_rows")).alias("n_erased"), "cents", F.coalesce("hit", F.lit(False)).alias("rewritten"), "ids_sha256", "columns", "path")
 
 
 def victim_masters(clients: DataFrame, clicks: DataFrame, every: int = 100) -> DataFrame:
@@ -326,20 +364,13 @@ def erase_masters(clients: DataFrame, clicks: DataFrame, sales: DataFrame, sale_
     """
     spark = clients.sparkSession
     folder = f"{shared_folder(spark)}/erasure-{uuid.uuid4().hex}"
-    owner = written(sales.where("sale_id IS NOT NULL").groupBy("sale_id").agg(F.min("client_id").alias("of")), "sale-clients")
-    masters = written(victim_masters(clients, clicks, every), "victim-masters")
-    gone = written(clients.join(few(masters, BROADCAST_ROWS), "master_id", "left_semi").where("client_id IS NOT NULL").select("client_id").distinct(), "victim-clients")
-    gone_sales = written(sales.join(few(gone, BROADCAST_ROWS), "client_id", "left_semi").select("sale_id").distinct(), "victim-sales")
+    owner = written(sales.where("sale_id IS NOT NULL").groupBy("sale_id").agg(F.min("client_id").alias("of")), "sale-clients", tidy=False)
+    masters = _small(victim_masters(clients, clicks, every), "victim-masters")
+    gone = _small(clients.join(masters, "master_id", "left_semi").where("client_id IS NOT NULL").select("client_id").distinct(), "victim-clients")
+    gone_sales = sales.join(gone, "client_id", "left_semi").select("sale_id").distinct()
 
     led = lambda df: df.select(as_row(df), F.col("client_id").cast("string").alias("lead"))
     lines = sale_lines.select(as_row(sale_lines), "sale_id").join(owner, "sale_id", "left").select("row", F.col("of").cast("string").alias("lead"))
-    out = None
-    for name, rows, id_col, victims, amount in (
-        ("clients", led(clients), "master_id", masters, "balance"),
-        ("clicks", led(clicks), "client_id", gone, "value"),
-        ("sales", led(sales), "client_id", gone, "total"),
-        ("sale_lines", lines, "sale_id", gone_sales, "amount"),
-    ):
-        told = erase(sorted_files(rows, f"{folder}/{name}", files), spark, id_col, victims, amount).select(F.lit(name).alias("table_name"), "*")
-        out = told if out is None else out.unionByName(told)
-    return out
+    stored = sorted_files({"clients": led(clients), "clicks": led(clicks), "sales": led(sales), "sale_lines": lines}, folder, files)
+    asked = (("clients", "master_id", masters, "balance"), ("clicks", "client_id", gone, "value"), ("sales", "client_id", gone, "total"), ("sale_lines", "sale_id", gone_sales, "amount"))
+    return erase(spark, [(stored[name], id_col, victims, amount) for name, id_col, victims, amount in asked])

@@ -46,15 +46,16 @@ def collected(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def written(df: DataFrame, name: str, compression: str = "zstd", lasting: bool = False) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "zstd", lasting: bool = False, tidy: bool = True) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back: cuts lineage, and survives the loss of any executor.
 
-    Inside of scratch() the table goes when that ends; a lasting one belongs to the scratch() around it, or else stays as long as the JVM.
+    Inside of scratch() the table goes when that ends; a lasting one belongs to the scratch() around it, or else stays as long as the JVM. tidy: shuffle files of finished steps are removed after it.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/folioforge/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
-    collected(spark)
+    if tidy:
+        collected(spark)
     files, where = _file(spark, path)
     files.deleteOnExit(where)
     owners = _open.get()[: -1 if lasting else None]
