@@ -26,8 +26,8 @@ CAP, END, VOCABULARY = 2048, 0, "byte_bpe_50k.json"
 #: Rows of the tables of counts (24 bytes each) and of steps (40 bytes) up to which they are broadcast; beyond, they are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
-#: The pieces into which the vocabulary's pre-tokenizer splits a text, for characters whose classes Python shares with it. Contractions and the order of the alternatives.
-_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+#: How the vocabulary's pre-tokenizer splits a text. Fixed value: contractions and the order of the alternatives.
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Between a character that isn't white space and a space before another such one, a text can always be cut.
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -45,21 +45,18 @@ def _odd() -> re.Pattern:
 
 
 class BytePieces(Encoder):
-    """Ids (uint16, little endian) of texts by a byte-level vocabulary that keeps case and white space. Pieces that have been seen need no merging again; words with odd characters and texts with a special token go to the tokenizer itself."""
+    """Ids (uint16, little endian) of texts by a byte-level vocabulary that keeps case and white space. The vocabulary's ids are the order of its merges, so they are ranks for a faster library; words with odd characters and texts with a special token go to the tokenizer itself."""
 
     def __init__(self, path: str):
-        super().__init__(path)
-        self.odd = _odd()
+        import tiktoken
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        shown = "".join([self.letters[b] for b in piece.encode()])
-        ids = self[piece] = np.array([t.id for t in self.model.tokenize(shown)], "<u2").tobytes()
-        return ids
+        super().__init__(path)
+        self.odd, of = _odd(), {x: b for b, x in enumerate(self.letters)}
+        ranks = {bytes(of[x] for x in token): k for token, k in self.tokenizer.get_vocab(with_added_tokens=False).items() if token not in self.special}
+        self.quick = tiktoken.Encoding(path, pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={})
 
     def _plain(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, _PIECE.findall(text)))
+        return np.array(self.quick.encode_ordinary(text), "<u2").tobytes()
 
     def _word(self, word: str) -> bytes:
         if not self.odd.search(word):
