@@ -28,7 +28,7 @@ from folioforge.llm.support import _file, bounded_batches, collected, deal_width
 #: A file has one row more than this share of its table's rows.
 FILES = 150
 #: Buckets of a file, as its rows allow; rows of a bucket below which nothing is gained; digits for each bucket that is wanted, as a power of two, and most bits of a digit.
-BUCKETS, LEAST_ROWS, SPARE_BITS, MOST_BITS = 8, 1024, 6, 16
+BUCKETS, LEAST_ROWS, SPARE_BITS, MOST_BITS = 8, 1024, 3, 16
 #: Bytes of a key that are looked at together, as a positive number.
 BYTES = 7
 #: Rows (50 bytes each at most) up to which tables of buckets are broadcast; beyond, they are joined by a shuffle. Buckets are BUCKETS for each file and a few.
@@ -163,8 +163,9 @@ def radix_levels(keys: DataFrame, sizes: list[tuple[int, int]]) -> list[Level]:
     bases = np.cumsum([0, *[n for n, _ in sizes]]).tolist()
     every = [(base, most, 0, 0, 8 * BYTES - b) for base, (n, most), b in zip(bases, sizes, bits, strict=False) if n]
     spans = _small(spark.createDataFrame(every, "parent long, most long, depth long, lo long, shift long"), "spans")
+    left = keys.select(F.col("base").alias("parent"), "key")  # those in buckets that are still too large
     while True:
-        at = walked(keys, levels).where("parent IS NOT NULL").join(spans, "parent").withColumn("digit", _digit())
+        at = left.join(spans, "parent").withColumn("digit", _digit())
         counts = written(at.groupBy("parent", "digit").agg(F.first("most").alias("most"), F.count(F.lit(1)).alias("many")), "digits", tidy=False)
         before = F.sum("many").over(Window.partitionBy("parent").orderBy("digit")) - F.col("many")
         told = counts.withColumns({"before": before, "open": F.col("many") > F.col("most")}).withColumn("block", F.when(F.col("open"), F.col("digit")).otherwise(F.expr("before div most")))
@@ -176,7 +177,9 @@ def radix_levels(keys: DataFrame, sizes: list[tuple[int, int]]) -> list[Level]:
         if large.isEmpty():
             return levels
         # where the bytes are those of all rows of a bucket, the next ones are looked at
-        seen = walked(keys, levels).where("parent IS NOT NULL").join(large, "parent").select("parent", "most", "held", "depth", F.expr(_looked("depth")).alias("x"), F.expr(_looked(f"depth + {BYTES}")).alias("y"))
+        left = at.select("parent", "digit", "key").join(levels[-1].digits.where("open").select("parent", "digit", "to"), ["parent", "digit"]).select(F.col("to").alias("parent"), "key")
+        left = written(left, "open-keys", tidy=False)
+        seen = left.join(large, "parent").select("parent", "most", "held", "depth", F.expr(_looked("depth")).alias("x"), F.expr(_looked(f"depth + {BYTES}")).alias("y"))
         ends = seen.groupBy("parent", "most", "held", "depth").agg(*[f(c).alias(f"{name}_{c}") for c in "xy" for name, f in (("lo", F.min), ("hi", F.max))])
         same = F.col("lo_x") == F.col("hi_x")
         lo, hi = F.when(same, F.col("lo_y")).otherwise(F.col("lo_x")), F.when(same, F.col("hi_y")).otherwise(F.col("hi_x"))
