@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,6 +40,11 @@ def lines_of(c: Column) -> Column:
     return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(c, rf"(?:{LINE_ENDS})\z", ""), LINE_ENDS))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value worked out once, however often use names it, also within lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def pages_of(c: Column) -> Column:
     """array<struct<page, body>>: what stands after each page header; without headers the whole text is page 1."""
     numbers = F.regexp_extract_all(c, F.lit(r"(?U)<h2>Page\s+(\d+)</h2>"), F.lit(1))
@@ -100,10 +107,14 @@ def without_noise(c: Column) -> Column:
 def without_empty_sections(c: Column) -> Column:
     """Sections (a heading and what follows up to the next) whose title or body says that nothing applies go; page markers in them stay."""
     heading = r"(?U)^\s*#{1,6}\s+.*"
-    start = F.struct(F.array().cast("array<array<string>>").alias("done"), F.array().cast("array<string>").alias("now"))
-    fresh = lambda s, x: F.struct(F.concat(s["done"], F.array(s["now"])).alias("done"), F.array(x).alias("now"))
-    more = lambda s, x: F.struct(s["done"].alias("done"), F.concat(s["now"], F.array(x)).alias("now"))
-    parts = F.aggregate(lines_of(c), start, lambda s, x: F.when(x.rlike(heading), fresh(s, x)).otherwise(more(s, x)), lambda s: F.concat(s["done"], F.array(s["now"])))
+
+    def parted(lines: Column) -> Column:
+        """The lines from each heading up to the next; what stands before the first is a part, too."""
+        heads = F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(heading), i)), lambda i: i.isNotNull())
+        starts = F.array_distinct(F.concat(F.array(F.lit(0)), heads))
+        return once(starts, lambda at: F.transform(at, lambda b, j: F.slice(lines, b + 1, F.coalesce(F.get(at, j + 1), F.size(lines)) - b)))
+
+    parts = once(lines_of(c), parted)
 
     def kept(part: Column) -> Column:
         title = compact(F.regexp_extract(F.element_at(part, 1), r"(?U)^\s*#{1,6}\s+(.*)", 1))

@@ -5,7 +5,7 @@ A document is the unit of work and is never split; documents are dealt evenly be
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -90,23 +90,31 @@ def chunked(docs: DataFrame, strict: bool = False) -> DataFrame:
     return each.select("doc_key", number.alias("ord"), F.format_string("TEXT_%03d", number).alias("id"), F.lit("text").alias("component_type"), "c.text", "c.section_path", "c.filename", "c.pages")
 
 
-def split_of(kind: str) -> Column:
-    """The split of a component of one of the lists tables, images_summary, images_translation and texts, from its component_type and id."""
+def split_of(kind: str, field: Callable[[str], Column] = F.col) -> Column:
+    """The split of a component of one of the lists tables, images_summary, images_translation and texts, from its component_type and id, which field() gives."""
     if kind == "tables":
-        return F.when((F.col("component_type") == "table_unstructured") | F.col("id").startswith("TB_UNSTR"), "tables_unstr").otherwise("tables_str")
+        return F.when((field("component_type") == "table_unstructured") | field("id").startswith("TB_UNSTR"), "tables_unstr").otherwise("tables_str")
     if kind == "images_summary":
-        return F.when(F.col("component_type") == "image_formula", "images_formula").otherwise("images_sum")
+        return F.when(field("component_type") == "image_formula", "images_formula").otherwise("images_sum")
     return F.lit("images_trans" if kind == "images_translation" else "texts")
 
 
 def components(found: DataFrame) -> DataFrame:
-    """All components of extracted() as rows, with split and ord: tables_str, tables_unstr, images_formula, images_sum, images_trans."""
+    """All components of extracted() as rows, with split and ord: tables_str, tables_unstr, images_formula, images_sum, images_trans. The lists are exploded together, so a document is parsed once for all of them."""
+    kinds = ("tables", "images_summary", "images_translation")
+    own = {kind: found.schema[kind].dataType.elementType for kind in kinds}
+    types = {f.name: f.dataType for kind in kinds for f in own[kind]}
 
-    def rows(column: str, split: Column) -> DataFrame:
-        each = found.select("doc_key", F.posexplode(column).alias("ord", "c")).select("doc_key", (F.col("ord") + 1).alias("ord"), "c.*")
-        return each.withColumn("split", split)
+    def tagged(kind: str) -> Column:
+        def row(x: Column, i: Column) -> Column:
+            fields = [(x[c] if c in own[kind].names else F.lit(None)).cast(t).alias(c) for c, t in types.items()]
+            return F.struct((i + 1).alias("ord"), *fields, split_of(kind, lambda c: x[c]).alias("split"))
 
-    return reduce(lambda x, y: x.unionByName(y, True), [rows(kind, split_of(kind)) for kind in ("tables", "images_summary", "images_translation")])
+        return F.transform(kind, row)
+
+    first = own["tables"].names
+    each = found.select("doc_key", F.explode(F.concat(*[F.coalesce(tagged(kind), F.array()) for kind in kinds])).alias("c"))
+    return each.select("doc_key", "c.ord", *[f"c.{c}" for c in first], "c.split", *[f"c.{c}" for c in types if c not in first])
 
 
 def with_texts(parts: DataFrame, texts: DataFrame) -> DataFrame:

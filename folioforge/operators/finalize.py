@@ -87,8 +87,8 @@ def texts(chunks: DataFrame, size: int = 0, overlap: int = 0) -> DataFrame:
     shown = F.concat(F.lit("["), F.array_join(F.transform("pages", lambda p: p.cast("string")), ", "), F.lit("]"))
     if size <= 0:
         return _record(whole, text=F.col("__t"), page_repr=shown)
-    cut = whole.select("*", F.posexplode_outer(windows("__t", F.lit(size), F.lit(max(overlap, 0)))).alias("__k", "__w"), F.lit(1).alias("__one"))
-    many = cut.withColumn("__n", F.size(windows("__t", F.lit(size), F.lit(max(overlap, 0)))))
+    cut = whole.withColumn("__c", windows("__t", F.lit(size), F.lit(max(overlap, 0))))
+    many = cut.select("*", F.size("__c").alias("__n"), F.posexplode_outer("__c").alias("__k", "__w")).drop("__c")
     named = F.when(F.col("__n") > 1, F.concat("id", F.lit("#c"), (F.col("__k") + 1).cast("string"))).otherwise(F.col("id"))
     return _record(many, id=named, text=F.when(F.col("__n") > 1, F.col("__w")).otherwise(F.col("__t")), page_repr=shown)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions import text as tx
-from folioforge.operators import documents, enrich, finalize, qa, vectors
+from folioforge.operators import documents, enrich, finalize, graph_index, qa, vectors
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -61,6 +61,17 @@ def topk_l2(spark, sf_dir):
     return _nearest(spark, sf_dir, "l2")
 
 
+@query("SELECT vec_id AS qid, true AS found FROM embeddings WHERE vec_id % 20 = 0 AND embedding IS NOT NULL")
+def graph_recall(spark, sf_dir):
+    """Does a search of the graphs find, over all queries, nine in ten of the five nearest that the exact search finds?"""
+    every = table(spark, sf_dir, "embeddings")
+    asked = every.where("vec_id % 20 = 0 AND embedding IS NOT NULL").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("query"))
+    near = graph_index.search(graph_index.graph_index(every, part_rows=250), asked, 5, 40).select("qid", "id")
+    exact = vectors.top_k(asked, every, 5).select("qid", "id")
+    hits = exact.join(near.withColumn("hit", F.lit(1)), ["qid", "id"], "left").agg((F.sum("hit") >= 0.9 * F.count(F.lit(1))).alias("found"))
+    return asked.select("qid").crossJoin(F.broadcast(hits))
+
+
 @query("""
     SELECT doc_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || translate(substr(h, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab') || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS point_id
     FROM (SELECT doc_id, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(lang || '||' || doc_id || '||' || source || '||||||')) AS h FROM documents)""")
