@@ -6,8 +6,9 @@ Buckets one after another are then a uniform random order of all records, which
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioforge.llm.support import deal_width, written
 
@@ -22,6 +23,20 @@ RUN = 4096
 BROADCAST_ROWS = 400_000
 
 
+def _orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind)
+    return _orderable(kind.elementType) if isinstance(kind, T.ArrayType) else not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def _sorted(records: Column, ordered: bool) -> Column:
+    """Records in the order of draw and place. Where their rows have no order, a comparison of these two alone does it, which is slower."""
+    if ordered:
+        return F.sort_array(records)
+    less = lambda a, b: (a["draw"] < b["draw"]) | ((a["draw"] == b["draw"]) & (a["place"] < b["place"]))
+    return F.array_sort(records, lambda a, b: F.when(less(a, b), F.lit(-1)).otherwise(F.lit(1)))
+
+
 def shuffled_shards(docs: DataFrame, shards: int = 16, seed: int = 20, text_col: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """All rows and columns of docs, with shard (0 to shards - 1) and slot (0, 1, ... in each shard).
 
@@ -34,12 +49,14 @@ def shuffled_shards(docs: DataFrame, shards: int = 16, seed: int = 20, text_col:
     held = kept.agg(F.sum(F.coalesce(F.octet_length(f"`{text_col}`"), F.lit(0)) + ROW_BYTES).alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
     buckets = max(1, -(-(held["bytes"] or 0) // bucket_bytes))
 
+    whole = F.struct(*[F.col(f"`{c}`") for c in kept.columns])
+    ordered = all(_orderable(f.dataType) for f in kept.schema)
     record = F.struct(F.xxhash64(F.lit(seed), F.col("__place")).alias("draw"), F.col("__place").alias("place"), F.col("__row").alias("row"))
-    scattered = kept.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("__row"), F.monotonically_increasing_id().alias("__place")).select(
+    scattered = kept.select(whole.alias("__row"), F.monotonically_increasing_id().alias("__place")).select(
         F.pmod(F.xxhash64(F.lit(seed + 1), F.col("__place")), F.lit(buckets)).alias("bucket"), record.alias("record")
     )
     tasks = min(buckets, max(deal_width(docs.sparkSession), min(MOST_TASKS, -(-(held["bytes"] or 0) // TASK_BYTES))))
-    together = scattered.repartition(tasks, "bucket").groupBy("bucket").agg(F.sort_array(F.collect_list("record")).alias("records")).sortWithinPartitions("bucket")  # one random stream a task: buckets take it in order
+    together = scattered.repartition(tasks, "bucket").groupBy("bucket").agg(_sorted(F.collect_list("record"), ordered).alias("records")).sortWithinPartitions("bucket")  # one random stream a task: buckets take it in order
     mixed = together.select("bucket", F.posexplode(F.expr(f"shuffle(records, {seed})")).alias("pos", "record"))
     mixed = written(mixed.select("bucket", F.col("pos").cast("long").alias("pos"), F.col("record.row").alias("row")), "buckets")
 

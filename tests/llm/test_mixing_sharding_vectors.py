@@ -202,3 +202,10 @@ def test_pipeline(spark):
         assert 0 < now.count()
         now = spark.createDataFrame(now.toArrow())
     assert pipeline.run(spark, SMALL).count() > 0
+
+
+def test_shards_of_columns_without_order(spark):
+    docs = spark.createDataFrame([(i, "text", {"a": i}) for i in range(40)], "doc_id long, text string, extra map<string,int>").withColumn("v", F.parse_json(F.lit("1")))
+    got = shuffled_shards(docs, shards=4).collect()
+    assert sorted(r.doc_id for r in got) == list(range(40)) and all(r.extra == {"a": r.doc_id} for r in got)
+    assert sorted((r.shard, r.slot) for r in got) == [(s, k) for s in range(4) for k in range(10)]
