@@ -2,7 +2,7 @@
 
 Sorting. A row's key is one string of bytes whose order is that of its columns from left to right, nulls first: a byte that tells nulls from values, then the value in bytes that compare as it does (see memcomparable); the row's place in the table
 ends it, so keys differ, and equal rows split like any others. Keys are partitioned by their most significant bits, as many as the rows need, and buckets with too many rows again by the next ones that differ in them. What is counted before a bucket is
-the rank of its first row, so the files of most rows are known from counts alone; rows of the few buckets that lie across the border of a file get their ranks within the bucket. Rows move once, to the file that holds them. Several tables are
+the rank of its first row, so where files begin is known from counts but for a bucket; in the few buckets in which a file begins, keys are sorted to find the one with which it does. Those keys, one a file, then tell each row's file. Rows move once, to the file that holds them. Several tables are
 partitioned together: each begins as a bucket of its own.
 
 Erasing. Victims are a table of ids. Those that occur in a file come to it as one sorted array, which heads its rows in one stream; numpy's searchsorted masks them batch by batch. New files are written beside the table, and take the places of the old ones when all are there.
@@ -11,6 +11,7 @@ Erasing. Victims are a table of ids. Those that occur in a file come to it as on
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -188,6 +189,32 @@ def radix_levels(keys: DataFrame, sizes: list[tuple[int, int]]) -> list[Level]:
         spans = _small(ends.select("parent", "most", (F.col("depth") + F.when(same, F.lit(BYTES)).otherwise(F.lit(0))).alias("depth"), lo.alias("lo"), shift.alias("shift")), "spans")
 
 
+def file_begins(keys: DataFrame, levels: list[Level]) -> dict[int, list[bytes]]:
+    """The keys with which the files of each table begin, but for its first, sorted, by the table's base: one a file, FILES a table at most. keys: base, key and per (rows of a file).
+
+    Buckets are ranks counted; only keys of buckets in which a file begins are sorted.
+    """
+    first = F.col("first") - F.col("base")
+    cut = walked(keys, levels).withColumn("first", first).where("(first + size - 1) div per > (first - 1) div per")
+    rank = F.col("first") + F.row_number().over(Window.partitionBy("base", "first").orderBy("key")) - 1
+    out: dict[int, list[bytes]] = {}
+    for r in cut.withColumn("rank", rank).where("rank > 0 AND rank % per = 0").select("base", "key").collect():
+        out.setdefault(r["base"], []).append(bytes(r["key"]))
+    return {base: sorted(found) for base, found in out.items()}
+
+
+def with_passed(rows: DataFrame, key: str, begins: list[bytes], out: str) -> DataFrame:
+    """rows and, as out, how many of begins (sorted) are not greater than key: strides of them are counted first, then those of one stride."""
+    if not begins:
+        return rows.withColumn(out, F.lit(0).cast("long"))
+    stride = math.isqrt(len(begins))
+    said = lambda some: F.array(*[F.lit(x) for x in some])
+    passed = lambda some: F.size(F.filter(some, lambda x: x <= F.col(key)))
+    before = rows.withColumn("__strides", passed(said(begins[::stride])))
+    start = (F.greatest(F.col("__strides"), F.lit(1)) - 1) * stride
+    return before.withColumn(out, (start + passed(F.slice(said(begins), start + 1, F.lit(stride)))).cast("long")).drop("__strides")
+
+
 @dataclass
 class Stored:
     """A table as files: <path>/<file>=<number>/ has one Parquet file of per_file consecutive rows of its sorted rows, the last the rest."""
@@ -228,25 +255,21 @@ def sorted_files(tables: dict[str, DataFrame], folder: str, files: int = FILES)
     Rows that are alike are kept as often as they occur. An empty table has no files.
     """
     keys = dict(zip(tables, together(lambda rows: (k := written(keyed(rows), "keyed", tidy=False), k.count()), [(x,) for x in tables.values()]), strict=True))
-    out, base, based = {}, 0, {}
+    out, base, based, starts = {}, 0, {}, {}
     for name, (k, n) in keys.items():
         kind = k.schema["row"].dataType
         out[name] = Stored(name, f"{folder}/{name}", fresh(kind.names, "file"), kind, n, 1 + n // files)
         based[name] = k.withColumn("base", F.lit(base).cast("long"))
+        starts[name] = base
         base += n
     sizes = [(t.rows, max(LEAST_ROWS, t.per_file // BUCKETS)) for t in out.values()]
     levels = radix_levels(reduce(DataFrame.unionByName, [k.select("base", "key") for k in based.values()]), sizes) if base else []
+    begins = file_begins(reduce(DataFrame.unionByName, [based[name].select("base", "key", F.lit(t.per_file).cast("long").alias("per")) for name, t in out.items()]), levels)
 
-    def put(table: Stored, rows: DataFrame) -> None:
-        per = table.per_file
-        placed = walked(rows, levels).withColumns({"first": F.col("first") - F.col("base")})
-        placed = placed.withColumns({"low": F.expr(f"first div {per}"), "high": F.expr(f"(first + size - 1) div {per}")})
-        whole = placed.where("low = high").select("row", F.col("key").alias("at"), F.col("low").alias("file"))
-        rank = F.col("first") + F.row_number().over(Window.partitionBy("first").orderBy("key")) - 1
-        cut = placed.where("low < high").withColumn("rank", rank).select("row", F.col("key").alias("at"), F.expr(f"rank div {per}").alias("file"))
-        _written_by_file(whole.unionByName(cut), table, table.path)
+    def put(table: Stored, rows: DataFrame, first: list[bytes]) -> None:
+        _written_by_file(with_passed(rows.select("row", F.col("key").alias("at")), "at", first, "file"), table, table.path)
 
-    together(put, [(out[name], based[name]) for name in out])
+    together(put, [(t, keys[name][0], begins.get(starts[name], [])) for name, t in out.items()])
     collected(keys[name][0].sparkSession)
     return out
 
