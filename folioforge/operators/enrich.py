@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from folioforge.functions import text as tx
 from folioforge.operators.documents import cell_texts
 from folioforge.operators.providers import LlmProvider
+from folioforge.sources.files import file_system
 
 IMAGE_WINDOW, TABLE_WINDOW, NUMERIC_SHARE, ATTEMPTS = 15, 20, 0.3, 3
 #: What each family asks for; a parameter of payloads().
@@ -143,3 +144,31 @@ def answered(asked: DataFrame, provider: LlmProvider, attempts: int = ATTEMPTS)
 def not_yet_answered(asked: DataFrame, results: DataFrame) -> DataFrame:
     """Payloads without a result; documents' components of one name are told apart by their document."""
     return asked.join(results.select("doc_key", "family", "id").distinct(), ["doc_key", "family", "id"], "left_anti")
+
+
+def answers_kept(asked: DataFrame, path: str) -> DataFrame | None:
+    """Of the answers below path, the best of each payload that is asked: a good one, else one of the last attempts. None if there are none yet."""
+    files, where = file_system(asked.sparkSession, path)
+    if not files.exists(where):
+        return None
+    shape = "doc_key string, family string, id string, input string, image_link string, attempt int, raw_response string, summary array<string>, ok boolean, reason string, part int"
+    rows = asked.sparkSession.read.schema(shape).parquet(path).drop("part")
+    keys = ["doc_key", "family", "id", "input"]
+    rows = rows.join(asked.select(*keys).distinct(), keys, "left_semi")
+    order = F.struct((~F.col("ok")).alias("bad"), (-F.col("attempt")).alias("tried"), "raw_response")
+    return rows.groupBy("doc_key", "family", "id").agg(F.min_by(F.struct(*[c for c in rows.columns if c not in keys[:3]]), order).alias("r")).select("doc_key", "family", "id", "r.*")
+
+
+def answered_and_kept(asked: DataFrame, provider: LlmProvider, path: str, attempts: int = ATTEMPTS, parts: int = 16) -> DataFrame:
+    """As answered(), with all answers kept below path: a run that was stopped and starts again asks only what has no good answer there, also if the payload of an id has changed since.
+
+    Payloads are asked in `parts` by their key, and what a part has got is kept as soon as it is done, so what a stop can lose is one part's. asked is read for each part: it should be a written table.
+    """
+    for part in range(parts):
+        mine = asked.where(F.pmod(F.xxhash64("doc_key", "family", "id"), F.lit(parts)) == part)
+        known = answers_kept(mine, path)
+        left = mine if known is None else not_yet_answered(mine, known.where("ok"))
+        if not left.isEmpty():
+            answered(left, provider, attempts).write.mode("append").parquet(f"{path}/part={part}")
+    found = answers_kept(asked, path)
+    return answered(asked, provider, attempts) if found is None else found

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from folioforge.functions import text as tx
 from folioforge.operators import documents, enrich, finalize, graph_index, qa, vectors
+from folioforge.sources import files
+from folioforge.streaming.point_store import PointStore
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -87,6 +89,19 @@ def upsert_latest(spark, sf_dir):
     return vectors.latest(table(spark, sf_dir, "conversations"), "conv_id", "turn").select("conv_id", "turn", "role", "text")
 
 
+@query()
+def upsert_store(spark, sf_dir):
+    """Sales as they arrived, a month a batch (those without a time in the first one, early and late ones in the nearest), upserted by sale_id into a store that merges its runs; then each sale as it was last."""
+    sales = table(spark, sf_dir, "sales")
+    month = F.year("arrived_at") * 12 + F.month("arrived_at") - (2024 * 12 + 1)
+    order = F.struct("arrived_at", *[c for c in sales.columns if c != "arrived_at"])
+    rows = sales.withColumns({"point_id": F.col("sale_id").cast("string"), "ord": order, "batch": F.coalesce(F.greatest(F.lit(0), F.least(F.lit(4), month)), F.lit(0))})
+    store = PointStore(spark, files.new_folder(spark, "sales"), fanout=3)
+    for batch in range(5):
+        store.append(rows.where(F.col("batch") == batch).drop("batch"), batch)
+    return store.read().select(*sales.columns)
+
+
 @query(r"""
     SELECT doc_id, CASE WHEN p > 1 THEN array_to_string(t[greatest(p - 15, 1):p - 1], ' ') ELSE '' END AS said_before, array_to_string(t[p + 1:p + 15], ' ') AS said_after
     FROM (SELECT doc_id, t, list_position(t, '{{IMG_SUM_001}}') AS p FROM (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from functools import reduce
 
 import pyarrow as pa
@@ -11,6 +13,28 @@ from pyspark.sql import functions as F
 from folioforge.operators.documents import split_of
 
 
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """Hadoop's file system of a path, and the path as it wants it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder that isn't there yet, below spark.checkpoint.dir; only where that is unset and all is one process, below a temporary one."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="folioforge-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, path: str) -> DataFrame:
+    """df, written and read again: what comes after starts from there, and survives the loss of executors."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def decoded(uri: Column) -> Column:
     """A file's path or name as it is, from the form in which Spark gives it."""
     return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
@@ -27,9 +51,8 @@ def placed(df: DataFrame, root: str | None) -> DataFrame:
 
 def markdown(spark: SparkSession, root: str, suffix: str = ".md") -> DataFrame:
     """doc_key, rel_path, folder, filename and text of all files below root that end so; none if root isn't there."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(root)
-    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+    files, where = file_system(spark, root)
+    if not files.exists(where):
         return spark.createDataFrame([], "doc_key string, rel_path string, folder string, filename string, text string")
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}")
     return placed(reader.text(root, wholetext=True), root)

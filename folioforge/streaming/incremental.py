@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from folioforge.operators.vectors import last_written, latest
 from folioforge.sources.files import placed
+from folioforge.streaming.point_store import PointStore
 
 
 def arriving(spark: SparkSession, root: str, suffix: str = ".md", files_a_batch: int = 1000) -> DataFrame:
@@ -19,13 +19,13 @@ def arriving(spark: SparkSession, root: str, suffix: str = ".md", files_a_batch:
 
 def stored(spark: SparkSession, path: str) -> DataFrame:
     """The table of points: of each the row of the last batch that wrote it."""
-    return latest(spark.read.option("basePath", path).parquet(path), "point_id", "batch")
+    return PointStore(spark, path).read()
 
 
 def upserting(docs: DataFrame, points: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:
-    """Writes the points of each batch, of each the last, into a folder of their own, which a repeated batch overwrites; stored() reads the last of each."""
+    """Upserts the points of each batch into the store at path; a batch that comes again changes nothing. Batches are numbered by the checkpoint, so a store belongs to one checkpoint."""
 
     def write(batch: DataFrame, number: int) -> None:
-        last_written(points(batch)).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        PointStore(batch.sparkSession, path).append(points(batch), number)
 
     return docs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
