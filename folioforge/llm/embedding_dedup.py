@@ -120,14 +120,21 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     bounded_batches(spark)
     wide = F.transform(F.col(f"`{vector_col}`"), lambda x: x.cast("double"))
     rows = vectors.select(F.col(f"`{id_col}`").alias("vec_id"), F.col(f"`{label_col}`").alias("label"), wide.alias("vector"))
-    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    sound = F.col("label").isNotNull() & F.col("vector").isNotNull() & (F.size("vector") > 0) & F.coalesce((length > 0) & (length < float("inf")), F.lit(False))
+    largest = F.array_max(F.transform("vector", F.abs))
+    finite = F.forall("vector", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
+    sound = F.col("label").isNotNull() & F.col("vector").isNotNull() & (F.size("vector") > 0) & finite & (largest > 0)
+    # Squares of very large or small doubles leave their range, so lengths are taken after a shift of exponents, which changes no digit.
+    shift = (-F.floor(F.log2(largest))).cast("int")
+    half = F.floor(shift / 2).cast("int")
+    scaled = F.transform("vector", lambda x: x * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), shift - half))
+    length = F.sqrt(F.aggregate("scaled", F.lit(0.0), lambda s, x: s + x * x))
     rows = written(rows.withColumn("sound", F.coalesce(sound, F.lit(False))), "vectors")
     good = rows.where("sound")
 
     classes = good.groupBy("label", "vector").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
     classes = classes.select(F.monotonically_increasing_id().alias("node"), "label", "vector", "first", "copies")
-    classes = written(classes.withColumn("length", length).withColumn("unit", F.transform("vector", lambda x: x / F.col("length"))), "vector-classes")
+    classes = classes.withColumn("scaled", scaled).withColumn("length", length)
+    classes = written(classes.withColumn("unit", F.transform("scaled", lambda x: x / F.col("length"))), "vector-classes")
 
     axes = _gram(classes)
     width = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6
@@ -140,7 +147,7 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     kind = vectors.schema[label_col].dataType.simpleString()
     shape = f"node long, label {kind}, copies long, vector array<double>, axes array<double>, d int, cell array<int>"
-    turned = written(classes.select("node", "label", "copies", "vector", "unit").mapInPandas(turn, shape), "turned")
+    turned = written(classes.select("node", "label", "copies", F.col("scaled").alias("vector"), "unit").mapInPandas(turn, shape), "turned")
 
     cells = written(turned.groupBy("label", "d", "cell").agg(F.count(F.lit(1)).alias("n")).withColumn("tiles", F.ceil(F.col("n") / tile).cast("int")), "cells")
     steps = [[x, y] for x in (-1, 0, 1) for y in (-1, 0, 1)]

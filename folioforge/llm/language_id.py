@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.llm.secret_scan import text_buffers
-from folioforge.llm.support import bounded_batches, written
+from folioforge.llm.support import PRINT, bounded_batches, row_print, written
 
 LANGUAGES = ("de", "en", "es", "fr")
 OTHER = "und"
@@ -112,11 +112,11 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), some.column(2), some.column(3), flat, pa.array(sizes)], ["doc_id", "print", "declared", "host", "says", "n"])
 
     declared = F.lower(F.substring(F.trim(F.col(f"`{declared_col}`").cast("string")), 1, 2))
-    key = F.xxhash64(*[F.col(f"`{c}`") for c in (id_col, text_col, declared_col, host_col or url_col)])
+    key = row_print(id_col, text_col, declared_col, host_col or url_col)
     told = docs.select(F.col(f"`{id_col}`").alias("doc_id"), key.alias("print"), declared.alias("declared"), host.alias("host"), F.col(f"`{text_col}`").alias("text"))
     blank = F.col("text").isNull() | ~F.col("text").rlike(r"[^\x00-\x40\x5B-\x60\x7B-\xBF]")
     told = told.withColumn("text", F.when(blank, F.lit("")).otherwise(F.col("text")))
-    said = written(told.mapInArrow(run, f"doc_id {kind}, print long, declared string, host string, says array<double>, n long"), "evidence")
+    said = written(told.mapInArrow(run, f"doc_id {kind}, print {PRINT}, declared string, host string, says array<double>, n long"), "evidence")
 
     names = F.array(*[F.lit(x) for x in (*LANGUAGES, OTHER)])
     best = lambda scores: F.element_at(names, F.array_position(scores, F.array_max(scores)).cast("int"))
@@ -149,15 +149,15 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     return scored.select("doc_id", "print", "host", "declared", "text_lang", F.when(F.col("kept"), F.col("best")).otherwise(F.lit(OTHER)).alias("lang"), F.round("confidence", 6).alias("confidence"), "kept")
 
 
-#: Rejected rows (16 bytes each) up to which they are broadcast; beyond, they are joined by a shuffle.
+#: Rejected rows (32 bytes each) up to which they are broadcast; beyond, they are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
 
 def without_rejected(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs that identify() keeps, all columns as they are."""
+    """The rows of docs that identify() keeps, all columns as they are, whatever their names or types. Null and blank texts go; of repeated rows all stay or all go; a null id, declaration or host is no reason to go. An empty table gives an empty one."""
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     declared_col, host_col = options.get("declared_col", "lang"), options.get("host_col", "source")
-    key = F.xxhash64(*[F.col(f"`{c}`") for c in (id_col, text_col, declared_col, host_col)])
+    key = row_print(id_col, text_col, declared_col, host_col or options.get("url_col"))
     gone = written(identify(docs, **options).where("NOT kept").select(F.col("print").alias("print")).distinct(), "rejected")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
     name = next(x for x in (f"__print{k}" for k in range(len(docs.columns) + 1)) if x not in {c.lower() for c in docs.columns})

@@ -18,7 +18,7 @@ BLOCK_WORDS = 64
 WEIGHTS, SHARE, PASSES = (5.0, 2.0, 1.0), 1.5, 2
 #: Documents whose places in their source are summed in one task, on average.
 RUN_DOCS = 2_000
-#: Applications of the network to numbers that fall outside; see permuted().
+#: Applications of the network to numbers that fall outside, before the longer walk; see permuted().
 WALK = 64
 #: Output shards, a power of two.
 SHARDS = 16
@@ -50,11 +50,11 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, pa
     return tried.withColumn("level", first).select("source", "sid", "source_size", F.coalesce(F.least("most", F.col("level") * F.col("weight")), F.col("most")).alias("target"))
 
 
-def permuted(i: Column, n: Column, *key: Column) -> Column:
+def permuted(i: Column, n: Column, *key: Column, walk_steps: int = WALK) -> Column:
     """The image of i under a pseudorandom permutation of 0 .. n - 1.
 
     Four rounds of an unbalanced Feistel network over a grid of a by c cells, a = ceil(sqrt(n)), c = ceil(n / a); images outside of n go through again until they are inside.
-    Fewer than a cells are outside, so that takes a steps at most, and beyond 2 or 3 is rare for large n; WALK steps are allowed, which is always enough up to n = 4096, and fails with a chance below 64 ** -64 beyond.
+    Fewer than a cells are outside, so a steps are always enough. More than 2 or 3 are rare for large n: WALK are taken first, and the rest of the a only by a number that is still outside then.
     """
     a = F.ceil(F.sqrt(n.cast("double"))).cast("long")
     c = F.ceil(n / a).cast("long")
@@ -67,8 +67,12 @@ def permuted(i: Column, n: Column, *key: Column) -> Column:
         return left * c + right
 
     once = through(i)
-    again = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), once, lambda x, _: F.when(x >= n, through(x)).otherwise(x))
-    return F.when(once < n, once).otherwise(again)
+
+    def walk(x: Column, steps: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1).cast("long"), steps), x, lambda y, _: F.when(y >= n, through(y)).otherwise(y))
+
+    again = walk(once, F.lit(walk_steps).cast("long"))
+    return F.when(once < n, once).otherwise(F.transform(F.array(again), lambda x: F.when(x < n, x).otherwise(walk(x, a)))[0])
 
 
 def drawn(slots: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFrame:

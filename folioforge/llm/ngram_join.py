@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from folioforge.llm.linking import connected
 from folioforge.llm.secret_scan import text_buffers
-from folioforge.llm.support import bounded_batches, written
+from folioforge.llm.support import PRINT, bounded_batches, row_print, written
 
 WORDS, SIMILAR = 5, 80
 #: Tokens of a segment, on average, in the largest sets of a band.
@@ -33,7 +33,7 @@ PER_SEGMENT = 4
 SKETCH_BITS = 1024
 #: Bits of the sieve for signatures that occur more than once; its size is fixed, whatever the data.
 SIEVE_BITS = 26
-#: Rows of a list of ids (16 bytes each) up to which it is broadcast; beyond, it is joined by a shuffle.
+#: Rows of a list of ids (32 bytes each at most) up to which it is broadcast; beyond, it is joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
 _U, _ALL = np.uint64, (1 << 64) - 1
@@ -165,15 +165,11 @@ def _few(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
 
 
-def row_key(*cols: str) -> Column:
-    return F.xxhash64(*[F.col(f"`{c}`") for c in cols])
-
-
 def _described(docs: DataFrame, id_col: str, text_col: str, similar: int) -> DataFrame:
     """For each row: rid, print, doc_id, n, k1 and k2 (hashes of the set), and its signatures for two bands with what it must put into the index."""
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.col(f"`{text_col}`")
-    plain = docs.select(F.monotonically_increasing_id().alias("rid"), row_key(id_col, text_col).alias("print"), F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"))
+    plain = docs.select(F.monotonically_increasing_id().alias("rid"), row_print(id_col, text_col).alias("print"), F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"))
 
     def run(batches):
         for batch in batches:
@@ -190,7 +186,7 @@ def _described(docs: DataFrame, id_col: str, text_col: str, similar: int) -> Dat
                     ["rid", "print", "doc_id", "n", "k1", "k2", "own", "own_need", "next", "next_need", "bits"],
                 )
 
-    return plain.mapInArrow(run, f"rid long, print long, doc_id {kind}, n long, k1 long, k2 long, own array<long>, own_need int, next array<long>, next_need int, bits array<long>")
+    return plain.mapInArrow(run, f"rid long, print {PRINT}, doc_id {kind}, n long, k1 long, k2 long, own array<long>, own_need int, next array<long>, next_need int, bits array<long>")
 
 
 def _sieve(shared: DataFrame) -> np.ndarray:
@@ -240,7 +236,7 @@ def _selected(described: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame) -> DataFrame:
     """node and set (uint64, little endian) of nodes (node, print, k1). Texts are read again; only those asked for are cut."""
     asked = _few(nodes.select("print").distinct())
-    texts = docs.select(row_key(id_col, text_col).alias("print"), F.col(f"`{text_col}`").alias("text")).join(asked, "print", "left_semi")
+    texts = docs.select(row_print(id_col, text_col).alias("print"), F.col(f"`{text_col}`").alias("text")).join(asked, "print", "left_semi")
 
     def run(batches):
         for batch in batches:
@@ -250,7 +246,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame) -> Data
                 k1 = np.array([_mix(s ^ _U(1)).sum(dtype=np.uint64) if len(s) else 0 for s in sets], np.uint64)
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(_signed(k1)), pa.array([s.tobytes() for s in sets], pa.binary())], ["print", "k1", "set"])
 
-    cut = texts.mapInArrow(run, "print long, k1 long, set binary")
+    cut = texts.mapInArrow(run, f"print {PRINT}, k1 long, set binary")
     found = cut.join(nodes, ["print", "k1"]).select("node", "set")
     return found.groupBy("node").agg(F.first("set").alias("set"))
 
@@ -317,7 +313,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: int = SIMILAR) -> DataFrame:
-    """The rows of docs, all columns as they are, with one of each component: the least doc_id, and of equal ids any one. Rows without words stay."""
+    """The rows of docs, all columns as they are, whatever their names or types, with one of each component: the least doc_id, and of equal ids any one.
+
+    Null, empty and blank texts have no words and stay, each row; rows alike in id and text are one component. A null id stays only where its component has no other. An empty table gives an empty one.
+    """
     rows = written(_grouped(docs, id_col, text_col, similar), "grouped").where("n > 0")
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "print")
     best = rows.groupBy("place").agg(F.min(order).alias("best"))
@@ -325,7 +324,7 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     prints = written(marked.groupBy("print").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("rows")), "marks")
     gone, twice = prints.where("NOT stays").select("print"), prints.where("stays AND rows > 1").select("print")
     name = next(x for x in (f"__print{k}" for k in range(len(docs.columns) + 1)) if x not in {c.lower() for c in docs.columns})
-    left = docs.withColumn(name, row_key(id_col, text_col)).join(_few(gone.withColumnRenamed("print", name)), name, "left_anti")
+    left = docs.withColumn(name, row_print(id_col, text_col)).join(_few(gone.withColumnRenamed("print", name)), name, "left_anti")
     if not twice.isEmpty():  # rows alike in id and text, all of which would stay
         twice = _few(twice.withColumnRenamed("print", name))
         left = left.join(twice, name, "left_anti").unionByName(left.join(twice, name, "left_semi").dropDuplicates([name]))

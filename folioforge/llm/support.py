@@ -90,6 +90,15 @@ def row_key(*cols: str) -> list[Column]:
     return [F.xxhash64(F.lit(k), *values).alias(name) for k, name in enumerate("pq")]
 
 
+#: The type of row_print().
+PRINT = "struct<p:long,q:long>"
+
+
+def row_print(*cols: str) -> Column:
+    """The two hashes of row_key() as one column: 128 bits, so that among 10^10 rows two that differ hardly ever share it."""
+    return F.struct(*row_key(*cols))
+
+
 def without_repeats(docs: DataFrame, *key: str, most: int = 300_000) -> DataFrame:
     """docs with one of rows alike in the key columns. Only rows that repeat are moved, found by narrow columns. A column that holds a row's key is named with two underscores and a number that no column of docs has."""
     taken = {c.lower() for c in docs.columns}

@@ -187,6 +187,19 @@ def test_near_embeddings(spark, d, tile):
     assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got)
 
 
+def test_numbers_that_are_still_outside_walk_on(spark):
+    n = 5003  # 71 cells by 71, of which 38 are outside
+    got = [r[0] for r in spark.range(n).select(permuted(F.col("id"), F.lit(n).cast("long"), F.lit(5), walk_steps=1)).collect()]
+    assert got == [r[0] for r in spark.range(n).select(permuted(F.col("id"), F.lit(n).cast("long"), F.lit(5))).collect()] and sorted(got) == list(range(n))
+
+
+def test_vectors_of_very_large_and_small_doubles(spark):
+    large, small, least = 1e200, 1e-200, 5e-324
+    rows = [(1, [large, 0.0]), (2, [large, 1e190]), (3, [small, 0.0]), (4, [2 * small, 0.0]), (5, [1.0, 0.0]), (6, [0.0, large]), (7, [0.0, least]), (8, [1.7e308, 1.7e308]), (9, [0.0, 0.0]), (10, [large, float("nan")]), (11, [large, None])]
+    got = near_embeddings(spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int")).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == {1: (4, 1), 2: (4, 1), 3: (4, 1), 4: (4, 1), 5: (4, 1), 6: (1, 6), 7: (1, 6), 8: (0, 8), 9: (0, 9), 10: (0, 10), 11: (0, 11)}
+
+
 def test_no_vectors(spark):
     assert near_embeddings(spark.createDataFrame([], VECTORS)).count() == 0
     assert near_embeddings(spark.createDataFrame([(1, None, 1, 1, 1)], VECTORS)).collect()[0][:] == (1, 0, 1, True)
@@ -204,6 +217,45 @@ def test_pipeline(spark):
     assert pipeline.run(spark, SMALL).count() > 0
 
 
+def test_stages_of_the_pipeline_on_odd_rows(spark):
+    pipeline = importlib.import_module("corpus_pipeline")
+    extra = "`a.b` int, print int, __print0 int, p int, size int, m map<string,int>"
+    read = spark.read.parquet(f"{SMALL}/documents.parquet").orderBy("doc_id").limit(40).collect()
+    most = max(r["doc_id"] for r in read)
+    good = next(r for r in read if r["lang"] == "en" and len(r["text"].split()) > 40 and not any(r["text"] == o["text"] for o in read if o is not r))
+    rng = random.Random(3)
+    words = [w for w in good["text"].split() if w.isalpha()]
+    long_ = "\n".join(" ".join(rng.choices(words, k=200)) for _ in range(40))
+    odd = [(None, " ".join(reversed(words)), "en", None, 1), (most + 1, None, None, None, None), (most + 2, "", "en", "x", 0), (most + 3, long_, "en", "x", len(long_))] + [tuple(good)] * 3
+    rows = [(*r, 1, 2, 3, 4, 5, {"k": 6}) for r in [*map(tuple, read), *odd]]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {extra}").repartition(3)
+    now, before = docs, docs.count()
+    for name, stage in pipeline.STAGES[:-1]:
+        now = spark.createDataFrame(stage(spark, now, SMALL).toArrow())
+        got = now.collect()
+        assert now.columns == docs.columns and got, name
+        assert all((r["a.b"], r["print"], r["__print0"], r["p"], r["size"], r["m"]) == (1, 2, 3, 4, 5, {"k": 6}) for r in got), name
+        ids = Counter(r["doc_id"] for r in got)
+        if name == "language_id":
+            assert not {most + 1, most + 2} & set(ids) and all((r["text"] or "").strip() for r in got) and ids[None] == 1 and ids[most + 3] == 1 and ids[good["doc_id"]] == 4
+        elif name == "line_dedup":
+            assert ids[None] == ids[most + 3] == 1 and all(r["n_chars"] == len(r["text"]) for r in got)
+        elif name == "ngram_jaccard_join":
+            words = Counter(" ".join(r["text"].split()).lower() for r in got if r["text"].split())
+            assert set(words.values()) == {1} and len(got) <= before
+        else:
+            assert set(ids.values()) <= {1, 2}
+        before = len(got)
+    assert pipeline.STAGES[-1][1](spark, now, SMALL).count() > 0
+
+
+def test_stages_of_the_pipeline_on_an_empty_table(spark):
+    pipeline = importlib.import_module("corpus_pipeline")
+    none = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in pipeline.STAGES:
+        assert stage(spark, none, SMALL).count() == 0, name
+
+
 def test_shards_of_columns_without_order(spark):
     docs = spark.createDataFrame([(i, "text", {"a": i}) for i in range(40)], "doc_id long, text string, extra map<string,int>").withColumn("v", F.parse_json(F.lit("1")))
     got = shuffled_shards(docs, shards=4).collect()
