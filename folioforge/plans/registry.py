@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions import text as tx
 from folioforge.operators import documents, enrich, finalize, graph_index, qa, vectors
-from folioforge.sources import files
+from folioforge.sources import external, files, splitting
 from folioforge.streaming.point_store import PointStore
 
 QUERIES: dict = {}
@@ -102,6 +102,26 @@ def upsert_store(spark, sf_dir):
     return store.read().select(*sales.columns)
 
 
+@query()
+def upsert_external(spark, sf_dir):
+    """Clients, then the changes of their city and balance, upserted into an external store a request of many points at a time; each client as it was last, by seq (of equal ones, and of repeated clients, by time, city and balance)."""
+    shape = lambda seq, at: [F.col("client_id").cast("string").alias("point_id"), F.struct(seq.cast("long").alias("seq"), F.col(at).alias("at"), "city", "balance").alias("ord"), "city", "balance"]
+    store = external.FolderStore(files.new_folder(spark, "clients"))
+    for points in (table(spark, sf_dir, "clients").select(*shape(F.lit(0), "updated_at")), table(spark, sf_dir, "client_changes").select(*shape(F.col("seq"), "valid_at"))):
+        external.write_points(points, store, request=4096)
+    return store.read(spark).select(F.col("point_id").cast("long").alias("client_id"), "city", "balance")
+
+
+@query()
+def array_files(spark, sf_dir):
+    """Items, exported as one JSON array and read again by many tasks: item_id, name, brand, kind, size and price by place."""
+    items = table(spark, sf_dir, "items").select("item_id", "name", "brand", "kind", "size", "price")
+    path = files.new_folder(spark, "items")
+    files.export_json(items, path)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema.fields)
+    return splitting.array_records(spark, path, schema)[0].drop("path", "ord")
+
+
 @query(r"""
     SELECT doc_id, CASE WHEN p > 1 THEN array_to_string(t[greatest(p - 15, 1):p - 1], ' ') ELSE '' END AS said_before, array_to_string(t[p + 1:p + 15], ' ') AS said_after
     FROM (SELECT doc_id, t, list_position(t, '{{IMG_SUM_001}}') AS p FROM (
