@@ -38,7 +38,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _nearest(spark: SparkSession, sf_dir: str, distance: str, asking: str = "vec_id % 20 = 0") -> DataFrame:
     points = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     asked = points.where(asking).select(F.col("vec_id").alias("qid"), F.col("embedding").alias("query"))
-    return vectors.top_k(asked, points, 5, distance).select("qid", F.col("rank").cast("long").alias("rank"), "id")
+    return vectors.top_k(asked, points, 5, distance, decimals=12).select("qid", F.col("rank").cast("long").alias("rank"), "id")
 
 
 _NEAREST = """
@@ -68,7 +68,9 @@ def graph_recall(spark, sf_dir):
     """Does a search of the graphs find, over all queries, nine in ten of the five nearest that the exact search finds?"""
     every = table(spark, sf_dir, "embeddings")
     asked = every.where("vec_id % 20 = 0 AND embedding IS NOT NULL").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("query"))
-    near = graph_index.search(graph_index.graph_index(every, part_rows=250), asked, 5, 40).select("qid", "id")
+    path = files.new_folder(spark, "graphs")
+    graph_index.graph_index(every, part_rows=250).write.parquet(path)
+    near = graph_index.search(spark.read.schema(graph_index.SHAPE).parquet(path), asked, 5, 40).select("qid", "id")
     exact = vectors.top_k(asked, every, 5).select("qid", "id")
     hits = exact.join(near.withColumn("hit", F.lit(1)), ["qid", "id"], "left").agg((F.sum("hit") >= 0.9 * F.count(F.lit(1))).alias("found"))
     return asked.select("qid").crossJoin(F.broadcast(hits))
