@@ -11,11 +11,17 @@ import heapq
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioforge.operators import vectors
+
 #: Points of a part: held by one task, as are their links. Points multiplied at once; share of m that is drawn; points at which a search starts.
 PART_ROWS, BLOCK, DRAWN, STARTS = 20_000, 1024, 4, 8
+#: Points up to which a part's queries are searched together; scores held for them at once.
+SMALL, STEP = 1024, 1 << 17
 SHAPE = "part long, parts long, id long, vector array<float>, links array<long>"
 
 
@@ -110,28 +116,77 @@ def _beam(query: np.ndarray, points: np.ndarray, links: list[np.ndarray], starts
     return best
 
 
+def _beams(asked: np.ndarray, points: np.ndarray, links: list[np.ndarray], starts: np.ndarray, ef: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """What _beam() finds for each query (scores and places, the best first), all queries of a small part a step at a time: each follows the links of the best point seen that it has not followed yet, until ef points seen are better."""
+    scores = asked @ points.T
+    order = np.argsort(-scores, axis=1, kind="stable")
+    rank, places = np.empty_like(order), np.arange(len(points))
+    np.put_along_axis(rank, order, places[None, :], axis=1)
+    linked = np.array([np.r_[row, np.full(max(map(len, links)) - len(row), i)] for i, row in enumerate(links)], np.int64)
+    live, seen = np.arange(len(asked)), np.zeros(scores.shape, bool)  # by rank: the first place is the query's best point
+    seen[live[:, None], rank[:, starts]] = True
+    ahead = seen.copy()
+    while len(live):
+        now = ahead[live]
+        best = now.argmax(axis=1)
+        on = now[np.arange(len(live)), best] & ((seen[live] & (places < best[:, None])).sum(axis=1) < ef)
+        live, best = live[on], best[on]
+        ahead[live, best] = False
+        next_ = rank[live[:, None], linked[order[live, best]]]
+        rows = live[:, None]
+        ahead[rows, next_] |= ~seen[rows, next_]
+        seen[rows, next_] = True
+    first = np.argsort(~seen, axis=1, kind="stable")[:, :ef]
+    return [(own[at[by]], at[by]) for own, at, by in zip(scores, order, (row[mark[row]] for row, mark in zip(first, seen, strict=True)), strict=True)]
+
+
 def search(index: DataFrame, queries: DataFrame, k: int = 7, ef: int = 100, distance: str = "cosine") -> DataFrame:
-    """qid, rank, id and score of about the k nearest points of each query (qid, query); a query isn't its own neighbour. The stated queries go to every part; what comes back are k rows for each part and query."""
+    """qid, rank, id and score of about the k nearest points of each query (qid, query); a query isn't its own neighbour. Queries go to every part, a copy for each cell of parts that one task searches; what comes back are k rows for each cell and query. The index should be a written table: its rows are counted first."""
     kind = _kind(distance)
 
-    def found(part: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple] = []
-        if len(part) and len(asked):
-            part = part.sort_values("id", ignore_index=True)
-            ids, raw = part["id"].to_numpy(), np.array(part["vector"].tolist(), float)
-            points = _scaled(raw, kind)
-            links = [np.searchsorted(ids, np.asarray(x, np.int64)) for x in part["links"]]
-            starts = np.unique(np.linspace(0, len(ids) - 1, STARTS).astype(int))
-            for qid, vector in zip(asked["qid"], asked["query"], strict=True):
-                if vector is None or len(vector) != raw.shape[1]:
-                    continue
-                query = _asked(np.array([vector], float), kind)[0]
-                near = sorted(((s, int(ids[p])) for s, p in _beam(query, points, links, starts, max(ef, k + 1)) if ids[p] != qid), key=lambda x: (-x[0], x[1]))[:k]
-                shown = [(s - 0.5 * float(np.dot(vector, vector))) if kind == "l2" else s for s, _ in near]
-                out += [(qid, i, -float(np.sqrt(max(0.0, -2 * s))) if kind == "l2" else float(s)) for s, (_, i) in zip(shown, near, strict=True)]
-        return pd.DataFrame(out, columns=["qid", "id", "score"])
-
-    everywhere = queries.select(F.col("qid").cast("long").alias("qid"), F.col("query").cast("array<float>").alias("query")).crossJoin(F.broadcast(index.select(F.col("part").alias("of")).distinct()))
-    each = index.groupBy("part").cogroup(everywhere.groupBy("of")).applyInPandas(found, "qid long, id long, score double")
+    def near(part: pd.DataFrame, qids: np.ndarray, raw_asked: np.ndarray) -> pd.DataFrame:
+        part = part.sort_values("id", ignore_index=True)
+        ids, raw = part["id"].to_numpy(), np.array(part["vector"].tolist(), float)
+        points = _scaled(raw, kind)
+        links = [np.searchsorted(ids, np.asarray(x, np.int64)) for x in part["links"]]
+        starts = np.unique(np.linspace(0, len(ids) - 1, STARTS).astype(int))
+        asked, wide, out = _asked(raw_asked, kind), max(ef, k + 1), []
+        step = max(1, STEP // len(ids))
+        for low in range(0, len(asked), step):
+            some = asked[low : low + step]
+            if len(ids) <= SMALL:
+                found = _beams(some, points, links, starts, wide)
+            else:
+                found = [tuple(np.array(x) for x in zip(*_beam(q, points, links, starts, wide), strict=True)) for q in some]
+            for q, (scores, places) in enumerate(found, low):
+                other = ids[places] != qids[q]
+                scores, places = scores[other], places[other]
+                best = np.lexsort((ids[places], -scores))[:k]
+                out.append((np.full(len(best), q), places[best], scores[best]))
+        q, places, scores = (np.concatenate(x) for x in zip(*out, strict=True))
+        if kind == "l2":
+            scores = -np.sqrt(np.maximum(0.0, (raw_asked[q] ** 2).sum(axis=1) - 2 * scores))
+        return pd.DataFrame({"qid": qids[q], "id": ids[places], "score": scores})
+
+    def run(held: pa.Table, asked: pa.Table) -> pa.Table:
+        out = pd.DataFrame({"qid": np.zeros(0, np.int64), "id": np.zeros(0, np.int64), "score": np.zeros(0)})
+        if len(held) and len(asked):
+            size = len(held["vector"][0])
+            asked = asked.filter(pa.array(pc.fill_null(pc.equal(pc.list_value_length(asked["query"]), size), False).to_numpy()))
+        if len(held) and len(asked):
+            qids, raw = asked["qid"].to_numpy(), vectors.matrix(asked["query"], size)
+            for _, part in held.to_pandas().groupby("part"):
+                out = pd.concat([out, near(part, qids, raw)])
+                out = out.sort_values(["qid", "score", "id"], ascending=[True, False, True]).groupby("qid").head(k)
+        return pa.Table.from_pandas(out, preserve_index=False)
+
+    facts = index.agg(F.count(F.lit(1)).alias("rows"), F.max("parts").alias("parts")).first()
+    n, parts = queries.count(), facts["parts"] or 1
+    blocks = max(1, -(-n // vectors.QUERY_ROWS))
+    width = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = min(parts, max(-(-facts["rows"] // PART_ROWS), -(-width // blocks), 1))
+    dealt = index.select(F.pmod("part", F.lit(cells)).cast("int").alias("cell"), "part", "id", "vector", "links")
+    asked = queries.select(F.col("qid").cast("long").alias("qid"), F.col("query").cast("array<float>").alias("query")).where("qid IS NOT NULL AND query IS NOT NULL")
     best = Window.partitionBy("qid").orderBy(F.desc("score"), "id")
+    each = vectors.crossed(dealt, asked, cells, blocks, run, "qid long, id long, score double")
     return each.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("qid", "rank", "id", "score")
