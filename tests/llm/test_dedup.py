@@ -312,6 +312,22 @@ def test_every_line_within_the_edits(spark):
     assert got == stay
 
 
+def test_query_misses_no_line_changed_all_over(spark, tmp_path):
+    """Lines of which 5 to 9 % of the characters are changed all over have hardly three words in a row in common."""
+    from folioforge.llm.queries import op2_line_dedup
+
+    rng, texts = random.Random(4), []
+    for share in (5, 6, 7, 8, 9):
+        for _ in range(6):
+            base = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 8))) for _ in range(24))
+            new = list(base)
+            for k in rng.sample([k for k, c in enumerate(base) if c != " "], len(base) * share // 100):
+                new[k] = "z"
+            texts += [base, "".join(new)]
+    frame(spark, list(enumerate(texts))).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(r["doc_id"] for r in op2_line_dedup(spark, str(tmp_path)).collect()) == list(range(0, len(texts), 2))
+
+
 def test_thousands_of_rows_alike(spark):
     """Their bits must not add up in the same fields of a sum."""
     line = " ".join(f"word{k}" for k in range(20))
