@@ -152,11 +152,15 @@ def cell_texts(html: pd.Series) -> pd.Series:
 
 @arrow("struct<structured:boolean,rows:array<string>>")
 def flattened(html: pd.Series) -> pd.DataFrame:
+    from folioforge.functions.markup import parsed
     from folioforge.functions.tables import flattened as flat
     from folioforge.functions.tables import grid, is_structured
 
-    same = [is_structured(t or "") for t in html]
-    return pd.DataFrame({"structured": same, "rows": [flat(grid(t or "")) if s else [] for t, s in zip(html, same, strict=True)]})
+    same, rows = [], []
+    for tree in (parsed(t or "") for t in html):
+        same.append(is_structured(tree))
+        rows.append(flat(grid(tree)) if same[-1] else [])
+    return pd.DataFrame({"structured": same, "rows": rows})
 
 
 @arrow("string")
