@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 
@@ -19,3 +20,8 @@ def arrow(kind: str) -> Callable:
         return call
 
     return named
+
+
+def bounded_batches(spark: SparkSession, megabytes: int = 8) -> None:
+    """Arrow batches that go to Python are at most so large (one row at least), whatever number of rows that is."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
