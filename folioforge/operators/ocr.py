@@ -15,25 +15,33 @@ DIAGRAMS, EDGES, FULL_WIDTH, SPACE = ("Image", "Figure", "Diagram", "Complex-Blo
 PADDING, TOP_EXTRA = 15, 30
 
 
+def _once(value: Column, use) -> Column:
+    """use(value), with value worked out once however often it is used there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def scaled_box(raw: Column, width: Column, height: Column) -> Column:
     """A box of the SPACE as pixels, inside of the page, however large its numbers; what can't be read is [0, 0, 1, 1], and a number that is none is 0."""
-    box = F.from_json(F.coalesce(raw, F.lit("")), "array<double>")
-    ok = F.when(F.size(box) == 4, box).otherwise(F.array(*[F.lit(float(x)) for x in (0, 0, 1, 1)]))
-    number = lambda k: F.nanvl(F.coalesce(F.element_at(ok, k + 1), F.lit(0.0)), F.lit(0.0))
-    at = lambda k, side: F.least(F.greatest(number(k) * side / SPACE, F.lit(-(2.0**31))), F.lit(2.0**31 - 1)).cast("int")
-    return F.array(F.greatest(F.lit(0), at(0, width)), F.greatest(F.lit(0), at(1, height)), F.least(width, at(2, width)), F.least(height, at(3, height)))
+    side = lambda ok, k, length: F.least(F.greatest(F.nanvl(F.coalesce(F.element_at(ok, k + 1), F.lit(0.0)), F.lit(0.0)) * length / SPACE, F.lit(-(2.0**31))), F.lit(2.0**31 - 1)).cast("int")
+    box = lambda ok: F.array(F.greatest(F.lit(0), side(ok, 0, width)), F.greatest(F.lit(0), side(ok, 1, height)), F.least(width, side(ok, 2, width)), F.least(height, side(ok, 3, height)))
+    none = F.array(*[F.lit(float(x)) for x in (0, 0, 1, 1)])
+    return _once(_once(F.from_json(F.coalesce(raw, F.lit("")), "array<double>"), lambda b: F.when(F.size(b) == 4, b).otherwise(none)), box)
 
 
 def padded_box(box: Column, width: Column, height: Column, full_width: Column | bool = False, padding: int = PADDING, top_extra: int = TOP_EXTRA, bottom_cut: int = 0) -> Column:
     """A box with room around it, most above."""
     full = F.lit(full_width) if isinstance(full_width, bool) else full_width
-    left, top, right, low = (F.element_at(box, k) for k in (1, 2, 3, 4))
-    return F.array(
-        F.when(full, F.lit(0)).otherwise(F.greatest(F.lit(0), left - padding)),
-        F.greatest(F.lit(0), top - (padding + top_extra)),
-        F.when(full, width).otherwise(F.least(width, right + padding)),
-        F.least(height, low + max(0, padding - bottom_cut)),
-    )
+
+    def padded(b: Column) -> Column:
+        left, top, right, low = (F.element_at(b, k) for k in (1, 2, 3, 4))
+        return F.array(
+            F.when(full, F.lit(0)).otherwise(F.greatest(F.lit(0), left - padding)),
+            F.greatest(F.lit(0), top - (padding + top_extra)),
+            F.when(full, width).otherwise(F.least(width, right + padding)),
+            F.least(height, low + max(0, padding - bottom_cut)),
+        )
+
+    return _once(box, padded)
 
 
 def has_block_math(node: Node) -> bool:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions import text as tx
+from folioforge.functions.arrow import bounded_batches
 from folioforge.operators import documents, enrich, finalize, graph_index, qa, vectors
 from folioforge.sources import external, files, splitting
 from folioforge.streaming.point_store import PointStore
@@ -21,6 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly to all tasks before a Python stage: a small file, or a shuffle of few bytes, is a task or two otherwise, however many rows it has."""
+    context = df.sparkSession.sparkContext
+    return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * context.defaultParallelism))
+
+
 def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
@@ -156,12 +163,14 @@ def section_drop(spark, sf_dir):
       SELECT doc_id, k, regexp_replace(regexp_replace(substr(text, CAST(k * 150 + 1 AS BIGINT), 200), '^[ \t\n\r\f\v]+', ''), '[ \t\n\r\f\v]+$', '') AS said
       FROM (SELECT doc_id, text, unnest(generate_series(0, CAST(ceil(greatest(length(text) - 200, 0) / 150.0) AS BIGINT))) AS k FROM documents WHERE length(text) > 0)) WHERE said <> ''""")
 def chunk_fixed(spark, sf_dir):
+    bounded_batches(spark)
     cut = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(documents.windows("text", F.lit(200), F.lit(50))).alias("k", "said"))
     return cut.select("doc_id", (F.col("k") + 1).cast("long").alias("n"), "said")
 
 
 @query()
 def chunk_placeholder(spark, sf_dir):
+    bounded_batches(spark)
     text = F.regexp_replace("text", r"\. ", ". {{IMG_SUM_001}} ")
     return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(documents.windows(text, F.lit(60), F.lit(30))).alias("k", "said"))
 
@@ -187,14 +196,14 @@ def digit_ratio_filter(spark, sf_dir):
     cell = F.when(F.col("l_quantity") <= 25, F.concat(F.col("l_quantity").cast("string"), F.lit(" %"))).otherwise(F.concat(F.lit("n"), F.col("l_quantity").cast("string")))
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", F.concat(F.lit("<tr><td>"), cell, F.lit("</td><td>1,000</td></tr>")).alias("row"))
     html = rows.groupBy("l_orderkey").agg(F.concat(F.lit("<table>"), F.array_join(F.collect_list("row"), ""), F.lit("</table>")).alias("table_html"))
-    counted = enrich.numeric_share(html)
+    counted = enrich.numeric_share(dealt(html))
     return counted.select("l_orderkey", F.col("digit_only_cells").cast("long").alias("digits"), F.col("total_cells").cast("long").alias("cells"), (F.col("digit_only_ratio") >= tx.ratio(80)).alias("skipped"))
 
 
 @query("SELECT p_partkey, '[(' || p_size || ')/([(a)/(' || p_partkey || ')])] √(√(x)) ×Δ' AS said FROM part")
 def frac_sqrt_math(spark, sf_dir):
     tex = F.concat(F.lit("\\frac{"), F.col("p_size").cast("string"), F.lit("}{\\frac{a}{"), F.col("p_partkey").cast("string"), F.lit("}} \\sqrt{\\sqrt{x}} \\times\\Delta"))
-    return table(spark, sf_dir, "part").select("p_partkey", documents.plain_math(tex).alias("said"))
+    return dealt(table(spark, sf_dir, "part").select("p_partkey", "p_size")).select("p_partkey", documents.plain_math(tex).alias("said"))
 
 
 def _outlined(text: Column) -> Column:
@@ -210,7 +219,7 @@ def entity_decode(spark, sf_dir):
 @query("SELECT p_partkey, p_name || translate(p_size::VARCHAR, '0123456789', '₀₁₂₃₄₅₆₇₈₉') || 'x⁻' || translate(p_partkey::VARCHAR, '0123456789', '⁰¹²³⁴⁵⁶⁷⁸⁹') || '+' AS said FROM part")
 def sub_and_sup(spark, sf_dir):
     html = F.concat("p_name", F.lit("<sub> "), F.col("p_size").cast("string"), F.lit(" </sub>x<SUP>-"), F.col("p_partkey").cast("string"), F.lit("+</sup>"))
-    return table(spark, sf_dir, "part").select("p_partkey", _outlined(html).alias("said"))
+    return dealt(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")).select("p_partkey", _outlined(html).alias("said"))
 
 
 @query("""SELECT conv_id, k, CASE WHEN k % 3 = 1 THEN cur WHEN k % 3 = 2 THEN up || ' / ' || cur ELSE upper2 || ' / ' || up || ' / ' || cur END AS path FROM (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions import text as tx
 from folioforge.operators import documents, enrich, finalize, ocr, qa, vectors
-from folioforge.plans.registry import ORACLES, QUERIES, query, table
+from folioforge.plans.registry import ORACLES, QUERIES, dealt, query, table
 
 _LOW, _HIGH = "₀₁₂₃₄₅₆₇₈₉", "⁰¹²³⁴⁵⁶⁷⁸⁹"
 
@@ -101,7 +101,7 @@ def _nth_sql(cases, key: str) -> str:
 def _formulas(name: str, pairs) -> None:
     def run(spark, sf_dir) -> DataFrame:
         given = F.replace(_nth([g for g, _ in pairs], F.col("p_partkey")), F.lit("@"), (F.col("p_size") % 10).cast("string"))
-        return table(spark, sf_dir, "part").select("p_partkey", documents.plain_math(given).alias("said"))
+        return dealt(table(spark, sf_dir, "part").select("p_partkey", "p_size")).select("p_partkey", documents.plain_math(given).alias("said"))
 
     QUERIES[name] = run
     ORACLES[name] = f"""SELECT p_partkey, replace(replace(replace(said, '@', d), '⌄', translate(d, '0123456789', '{_LOW}')), '⌃', translate(d, '0123456789', '{_HIGH}')) AS said
@@ -121,7 +121,7 @@ def _s(c: str) -> Column:
     ELSE '<p>see x' || translate(d, '0123456789', '{_LOW}') || '</p>' || chr(10) END || '<math display="block">4.' || p_size || ' r = 1</math>' AS said FROM (SELECT *, (p_size % 10)::VARCHAR AS d FROM part)""")
 def formula_headings(spark, sf_dir):
     text = F.concat(F.lit("<p>see <math>x_"), (F.col("p_size") % 10).cast("string"), F.lit('</math></p>\n<math display="block">4.'), _s("p_size"), F.lit(" r = 1</math>"))
-    return table(spark, sf_dir, "part").select("p_partkey", documents.outlined(text, F.col("p_partkey") % 2 == 0)["text"].alias("said"))
+    return dealt(table(spark, sf_dir, "part").select("p_partkey", "p_size")).select("p_partkey", documents.outlined(text, F.col("p_partkey") % 2 == 0)["text"].alias("said"))
 
 
 @query("""SELECT p_partkey, n, CASE n WHEN 1 THEN 'k > k: ' || p_name || ' (이미지: i' || p_size || ') | v > a: ' || p_size || ' | v: (이미지: x / y)' ELSE 'k > k: w' || p_size || ' | v > a: w' || p_size || ' | v: z' END AS said
@@ -129,7 +129,7 @@ def formula_headings(spark, sf_dir):
 def table_spans(spark, sf_dir):
     cells = F.concat(F.lit("<tr><td>"), "p_name", F.lit('<img alt="i'), _s("p_size"), F.lit('"/></td><td> '), _s("p_size"), F.lit(' </td><td><img alt="x"/><img alt="y"/></td></tr><tr><td colspan="2">w'), _s("p_size"), F.lit("</td><td>z</td></tr>"))
     html = F.concat(F.lit('<table><tr><th>k</th><th colspan="2">v</th></tr><tr><th>k</th><th>a</th><th></th></tr>'), cells, F.lit("</table>"))
-    flat = table(spark, sf_dir, "part").select("p_partkey", F.posexplode(documents.flattened(html)["rows"]).alias("k", "said"))
+    flat = dealt(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")).select("p_partkey", F.posexplode(documents.flattened(html)["rows"]).alias("k", "said"))
     return flat.select("p_partkey", (F.col("k") + 1).alias("n"), "said")
 
 
@@ -275,7 +275,7 @@ def page_boxes(spark, sf_dir):
     raw = raw.otherwise(F.concat(F.lit("["), (F.col("p_size") * 7.5).cast("string"), F.lit(", "), size, F.lit(", "), (F.col("p_size") + 600.25).cast("string"), F.lit(", 700]")))
     stem = F.when(F.col("p_partkey") % 5 == 0, "TP-030-010-030 x").otherwise("TP-030-010-031 x")
     html = F.concat(F.lit('<div data-label="Figure" data-bbox="'), raw, F.lit('">cap</div>'))
-    pages = table(spark, sf_dir, "part").select(_s("p_partkey").alias("doc_key"), stem.alias("stem"), F.lit(1).alias("page"), html.alias("html"), (F.col("p_size") * 20 + 100).cast("int").alias("width"), F.lit(900).alias("height"))
+    pages = dealt(table(spark, sf_dir, "part").select("p_partkey", "p_size")).select(_s("p_partkey").alias("doc_key"), stem.alias("stem"), F.lit(1).alias("page"), html.alias("html"), (F.col("p_size") * 20 + 100).cast("int").alias("width"), F.lit(900).alias("height"))
     boxes = ocr.assembled_pages(pages).select(F.col("doc_key").cast("long").alias("p_partkey"), F.explode("assets.bbox").alias("b"))
     return boxes.select("p_partkey", *[F.element_at("b", k + 1).cast("long").alias(n) for k, n in enumerate(("x0", "y0", "x1", "y1"))])
 
