@@ -12,7 +12,7 @@ import pytest
 
 from folioforge.llm.components import components
 from folioforge.llm.exact_dedup import BLOCK_BYTES, label_duplicates
-from folioforge.llm.line_dedup import EDITED, dedup_lines
+from folioforge.llm.line_dedup import EDITED, by_pieces, dedup_lines
 from folioforge.llm.ngram_join import near_duplicates, shingle_sets, without_near_duplicates
 
 SCHEMA = "doc_id long, text string, lang string, source string, rid string, key int, n int, node int"
@@ -328,6 +328,22 @@ def test_query_misses_no_line_changed_all_over(spark, tmp_path):
     assert sorted(r["doc_id"] for r in op2_line_dedup(spark, str(tmp_path)).collect()) == list(range(0, len(texts), 2))
 
 
+def test_pieces_in_common_by_accident(spark):
+    """Lines that have one piece in common, and nothing around it, need not be compared; those within the edits are."""
+    rng, lines = random.Random(6), []
+    for size in (29, 47, 99, 250, 1200):
+        made = ["".join(rng.choice("abcdefghijklmnop é😀") for _ in range(size - 9)) for _ in range(6)]
+        lines += ["nine char" + x for x in made]
+        for x in made[:2]:
+            new = list("nine char" + x)
+            for k in range(9, 9 + 10 * (size // 10 - 1), 10):
+                new[k] = "Z"
+            lines.append("".join(new))
+    rows = [(k, k, len(x), x) for k, x in enumerate(lines)]
+    got = {frozenset(r) for r in by_pieces(spark.createDataFrame(rows, "node long, place long, n int, said string"), EDITED).collect()}
+    assert got == {frozenset((k, k - 6)) for k in range(len(lines)) if k % 8 >= 6}
+
+
 def test_thousands_of_rows_alike(spark):
     """Their bits must not add up in the same fields of a sum."""
     line = " ".join(f"word{k}" for k in range(20))
