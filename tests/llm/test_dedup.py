@@ -344,6 +344,25 @@ def test_pieces_in_common_by_accident(spark):
     assert got == {frozenset((k, k - 6)) for k in range(len(lines)) if k % 8 >= 6}
 
 
+def test_rounds_and_tasks_of_the_join_follow_the_pieces(spark, monkeypatch):
+    """Lines are read again in each round: few lines are joined in one, many in as many as are needed, and no task gets far more pieces than it can hold."""
+    from folioforge.llm import line_dedup
+
+    rng, rounds = random.Random(9), []
+    lines = ["".join(rng.choice("abcdefghijklmnop ") for _ in range(rng.randrange(50, 420))) for _ in range(300)]
+    lines += [x[:10] + "Z" + x[12:] for x in lines[:5]]
+    rows = spark.createDataFrame([(k, k, len(x), x) for k, x in enumerate(lines)], "node long, place long, n int, said string").localCheckpoint()
+    real = line_dedup.written
+    monkeypatch.setattr(line_dedup, "written", lambda df, name, **options: rounds.append(name) or real(df, name, **options))
+    pairs = lambda: {frozenset(r) for r in by_pieces(rows, EDITED).collect()}
+    want = {frozenset((k, 300 + k)) for k in range(5)}
+    assert pairs() == want and len([x for x in rounds if x.startswith("pieces")]) == 1
+    rounds.clear()
+    monkeypatch.setattr(line_dedup, "ROUND_PIECES", 5000)
+    monkeypatch.setattr(line_dedup, "TASK_PIECES", 300)
+    assert pairs() == want and len([x for x in rounds if x.startswith("pieces")]) > 2
+
+
 def test_thousands_of_rows_alike(spark):
     """Their bits must not add up in the same fields of a sum."""
     line = " ".join(f"word{k}" for k in range(20))
